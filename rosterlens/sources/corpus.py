@@ -7,10 +7,11 @@ relation is a named step; a step may use the tables and the steps before it.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import staging
+
 FETCH_DATE = "2026-08-21"
 SNAPSHOT = "2026-08"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages")
@@ -103,29 +104,36 @@ SELECT DISTINCT 'index', concat('https://www.host', CAST(n_nationkey % 7 AS STRI
 }
 
 
-@dataclass(frozen=True)
 class Corpus:
-    """The relations by name, each a DataFrame."""
+    """The relations by name. A step is staged as a table when it is first asked for, like the files that stages of an
+    audit hand on; later queries of the application start from there."""
 
-    relations: dict[str, DataFrame]
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.known: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.relations[name]
+        if name not in self.known:
+            if name in TABLES:
+                self.known[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            else:
+                sql = STEPS[name]
+                used = {k: self[k] for k in (*TABLES, *STEPS) if k != name and _uses(sql, k)}
+                for k in used:
+                    sql = _replace(sql, k)
+                self.known[name] = staging.stage(self.spark.sql(sql, **used))
+        return self.known[name]
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES}
+_LOADED: dict[tuple[str, str], Corpus] = {}
 
 
 def load(spark: SparkSession, sf_dir: str) -> Corpus:
-    """The corpus over the tables of ``sf_dir``; every step is lazy."""
-    known = tables(spark, sf_dir)
-    for name, sql in STEPS.items():
-        used = {k: v for k, v in known.items() if _uses(sql, k)}
-        for k in used:
-            sql = _replace(sql, k)
-        known[name] = spark.sql(sql, **used)
-    return Corpus({name: known[name] for name in (*STEPS, *TABLES)})
+    """The corpus over the tables of ``sf_dir``."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOADED:
+        _LOADED[key] = Corpus(spark, sf_dir)
+    return _LOADED[key]
 
 
 def _pattern(name: str) -> str:
