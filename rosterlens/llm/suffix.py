@@ -40,7 +40,9 @@ GRAM = 24
 #: Buckets for each shuffle partition.
 BUCKETS_PER_PARTITION = 4
 #: Segments that a task holds before it sends them on.
-HELD = 1_000_000
+HELD = 400_000
+#: Places between the stored ranks of a transform, and intervals extended at a time.
+SAMPLED, WIDE = 32, 8192
 #: Bytes of text that one Burrows-Wheeler transform takes at a time (an anchor's texts stay together).
 TRANSFORM_BYTES = 1 << 17
 
@@ -212,6 +214,27 @@ def bounded_order(text: np.ndarray, depth: int) -> np.ndarray:
         reach *= 2
 
 
+class _Ranks:
+    """How often each symbol stands before a place: stored for every SAMPLED-th place, counted from there on."""
+
+    def __init__(self, code: np.ndarray, symbols: int):
+        blocks = len(code) // SAMPLED + 1
+        self.symbols = symbols
+        self.codes = np.zeros(blocks * SAMPLED, np.int32)
+        self.codes[: len(code)] = code
+        self.codes = self.codes.reshape(blocks, SAMPLED)
+        counts = np.bincount(np.arange(len(code)) // SAMPLED * symbols + code, minlength=blocks * symbols).reshape(blocks, symbols)
+        self.stored = np.zeros((blocks + 1, symbols), np.int32)
+        np.cumsum(counts, axis=0, out=self.stored[1:])
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """A row for each place, a column for each symbol."""
+        block, rest = places // SAMPLED, places % SAMPLED
+        own = (np.arange(len(places), dtype=np.int32) * self.symbols)[:, None] + self.codes[block]
+        seen = own[np.arange(SAMPLED) < rest[:, None]]
+        return self.stored[block] + np.bincount(seen, minlength=len(places) * self.symbols).reshape(len(places), self.symbols)
+
+
 def long_prefix_groups(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Rotations in order, and for each the number of its group: neighbours share a group if they agree in ``length`` symbols.
 
@@ -229,21 +252,18 @@ def long_prefix_groups(text: np.ndarray, length: int) -> tuple[np.ndarray, np.nd
     base = np.concatenate(([0], np.cumsum(counts)[:-1]))
     step = np.empty(n, np.int64)  # where the suffix one symbol longer stands
     step[by_symbol] = np.arange(n)
-    ranks = np.zeros((len(symbols), n + 1), np.int32)
-    for c in range(len(symbols)):
-        np.cumsum(code == c, dtype=np.int32, out=ranks[c, 1:])
+    ranks = _Ranks(code, len(symbols))
     open_ = np.ones(n + 1, bool)
     low, high = np.zeros(1, np.int64), np.full(1, n, np.int64)
     for _ in range(length):
         single = high - low == 1
         lows, highs = [step[low[single]]], [step[low[single]] + 1]
         i, j = low[~single], high[~single]
-        if len(i):
-            for c in range(len(symbols)):
-                x, y = base[c] + ranks[c][i], base[c] + ranks[c][j]
-                some = y > x
-                lows.append(x[some])
-                highs.append(y[some])
+        for k in range(0, len(i), WIDE):
+            x, y = base + ranks.at(i[k : k + WIDE]), base + ranks.at(j[k : k + WIDE])
+            some = y > x
+            lows.append(x[some])
+            highs.append(y[some])
         low, high = np.concatenate(lows), np.concatenate(highs)
         new = open_[high]
         low, high = low[new], high[new]
@@ -280,7 +300,7 @@ def repeated_in(pieces: list[bytes], places: np.ndarray, length: int) -> list[np
     return out
 
 
-_PIECES = "key long, doc long, twin long, at int, piece binary"
+_PIECES = "key long, doc long, twin long, at int, piece binary, n int"
 
 
 def _compare(keyed: DataFrame, asked: DataFrame, length: int) -> DataFrame:
@@ -289,8 +309,9 @@ def _compare(keyed: DataFrame, asked: DataFrame, length: int) -> DataFrame:
 
     def fetch(batches):
         hasher = _Hasher()
-        for batch in batches:
-            out: list[tuple] = []
+        for batch in slices(batches):
+            out: dict[tuple, tuple] = {}  # the earliest place of each text of an anchor
+            again: list[tuple] = []  # later places, which need no text any more; any task may take them
             texts = batch.column("text")
             spans = batch.column("spans")
             docs, twins = batch.column("doc").to_pylist(), batch.column("twin").to_pylist()
@@ -307,20 +328,24 @@ def _compare(keyed: DataFrame, asked: DataFrame, length: int) -> DataFrame:
                         if x <= y:
                             near = hasher.of(np.array([own - context if side == 0 else own]), np.array([own + GRAM if side == 0 else own + GRAM + context]))
                             key = mix64(near ^ np.uint64(side))
-                            out.append((int(key.view(np.int64)[0]), docs[i], twins[i], x, raw[x : y + length]))
-                if len(out) >= 20_000:
-                    yield _batch(out)
-                    out = []
+                            row = (int(key.view(np.int64)[0]), docs[i], twins[i], x, raw[x : y + length], y - x + 1)
+                            first = out.setdefault((row[0], row[4]), row)
+                            if row[1:4] != first[1:4]:
+                                out[row[0], row[4]], later = sorted((row, first), key=lambda r: r[1:4])
+                                again.append((later[2] ^ later[3], *later[1:4], None, later[5]))
+                if len(out) + len(again) >= 20_000:
+                    yield _batch([*out.values(), *again])
+                    out, again = {}, []
             if out:
-                yield _batch(out)
+                yield _batch([*out.values(), *again])
 
     def compare(batches):
-        key, held, ready, size = None, [], [], 0
+        key, ready, size = None, [], 0
+        held: dict[bytes, tuple] = {}  # of one key, the earliest place of each text
+        whole: list[tuple] = []  # texts that repeat an earlier one of their key
 
         def solve(rows):
-            unique = {(r[1], r[2], r[3], len(r[4])): r for r in rows}
-            rows = list(unique.values())
-            places = np.array([(r[1], r[2], r[3]) for r in rows], [("doc", "<i8"), ("twin", "<i8"), ("at", "<i8")])
+            places = np.array([r[1:4] for r in rows], [("doc", "<i8"), ("twin", "<i8"), ("at", "<i8")])
             for row, again in zip(rows, repeated_in([r[4] for r in rows], places, length), strict=True):
                 if len(again):
                     cut = np.flatnonzero(np.concatenate(([True], np.diff(again) > 1)))
@@ -328,27 +353,34 @@ def _compare(keyed: DataFrame, asked: DataFrame, length: int) -> DataFrame:
                     yield from ((row[1], row[2], row[3] + int(x), int(n)) for x, n in zip(again[cut], runs, strict=True))
 
         def settle(rows):
-            got = list(solve(rows))
-            yield pa.RecordBatch.from_arrays(
+            got = [*(solve(rows) if rows else ()), *whole]
+            whole.clear()
+            return pa.RecordBatch.from_arrays(
                 [pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.int32()), pa.array([g[3] for g in got], pa.int32()), pa.array([None] * len(got), pa.int64())],
                 ["doc", "twin", "at", "n", "anchor"],
             )
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
+            for row in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True):
+                if row[4] is None:
+                    whole.append((*row[1:4], row[5]))
+                    continue
                 if row[0] != key:
                     if len(held) > 1:
-                        ready += held
-                        size += sum(len(r[4]) for r in held)
-                        if size >= TRANSFORM_BYTES:
-                            yield from settle(ready)
-                            ready, size = [], 0
-                    key, held = row[0], []
-                held.append(row)
+                        ready += held.values()
+                        size += sum(map(len, held))
+                    key, held = row[0], {}
+                    if size >= TRANSFORM_BYTES or len(whole) >= 10_000:
+                        yield settle(ready)
+                        ready, size = [], 0
+                first = held.setdefault(row[4], row)
+                if row[1:4] != first[1:4]:
+                    later = max(row, first, key=lambda r: r[1:4])
+                    held[row[4]] = min(row, first, key=lambda r: r[1:4])
+                    whole.append((*later[1:4], later[5]))
         if len(held) > 1:
-            ready += held
-        if ready:
-            yield from settle(ready)
+            ready += held.values()
+        yield settle(ready)
 
     by_doc = asked.groupBy("doc", "twin").agg(F.collect_list(F.struct("at", "n", "anchor")).alias("spans"))
     pieces = keyed.join(by_doc, ["doc", "twin"]).select("doc", "twin", "text", "spans").mapInArrow(fetch, _PIECES)
@@ -356,8 +388,8 @@ def _compare(keyed: DataFrame, asked: DataFrame, length: int) -> DataFrame:
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "doc", "twin", "at", "piece"])
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "doc", "twin", "at", "piece", "n"])
 
 
 def _with_spans(documents: DataFrame, length: int) -> tuple[DataFrame, str]:
