@@ -191,23 +191,25 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Model
     y = labels.astype(np.float32)
     if min(y.sum(), len(y) - y.sum()) < 4:
         return None
-    x = np.zeros((len(rows), N_FAMILIES * BUCKETS), np.float32)
-    for i, (at, values) in enumerate(rows):
-        x[i, at] = values
     held = np.arange(len(y)) % 4 == 3
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held[:] = False
-    scale = x.std(axis=0) + 1e-4
+    order = np.argsort(held, kind="stable")  # the fold that calibrates comes last, so that folds are views
+    n_fit, y = int((~held).sum()), y[order]
+    x = np.zeros((len(rows), N_FAMILIES * BUCKETS), np.float32)
+    for i, k in enumerate(order):
+        x[i, rows[k][0]] = rows[k][1]
+    scale = np.concatenate([part.std(axis=0) for part in np.split(x, N_FAMILIES * 4, axis=1)]) + np.float32(1e-4)
+    scale *= np.float32(np.sqrt(N_FAMILIES * BUCKETS))
     x /= scale
-    x /= np.sqrt(N_FAMILIES * BUCKETS)
-    w, b = _logistic(x[~held], y[~held], 1e-4, 300)
-    held = held if held.any() else ~held
-    logits = x[held] @ w + b
-    n_good = y[held].sum()
-    soft = np.where(y[held] == 1, (n_good + 1) / (n_good + 2), 1 / (len(y[held]) - n_good + 2))  # as Platt smooths targets
+    w, b = _logistic(x[:n_fit], y[:n_fit], 1e-4, 300)
+    own = slice(n_fit, None) if n_fit < len(y) else slice(None)
+    logits = x[own] @ w + b
+    n_good = y[own].sum()
+    soft = np.where(y[own] == 1, (n_good + 1) / (n_good + 2), 1 / (len(y[own]) - n_good + 2))  # as Platt smooths targets
     spread = float(logits.std()) or 1.0
     slope, shift = _logistic((logits / spread)[:, None].astype(np.float64), soft, 1e-6, 300)
-    return Model((w / scale / np.sqrt(N_FAMILIES * BUCKETS)).astype(np.float64), b, float(slope[0]) / spread, shift)
+    return Model((w / scale).astype(np.float64), b, float(slope[0]) / spread, shift)
 
 
 def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
@@ -233,14 +235,14 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_quality").cast(pa.int32()),
-                    pa.array([at.astype(np.int32).tobytes() for at, _ in found], pa.binary()),
-                    pa.array([v.astype(np.float32).tobytes() for _, v in found], pa.binary()),
+                    pa.array([at.astype(np.uint16).tobytes() for at, _ in found], pa.binary()),
+                    pa.array([v.astype(np.float16).tobytes() for _, v in found], pa.binary()),
                 ],
                 ["quality", "at", "value"],
             )
 
     got = texts.mapInArrow(rows, "quality int, at binary, value binary").toArrow()
-    pairs = [(np.frombuffer(a, np.int32), np.frombuffer(v, np.float32)) for a, v in zip(got["at"].to_pylist(), got["value"].to_pylist(), strict=True)]
+    pairs = [(np.frombuffer(a, np.uint16), np.frombuffer(v, np.float16)) for a, v in zip(got["at"].to_pylist(), got["value"].to_pylist(), strict=True)]
     return fit(pairs, (np.array(got["quality"].to_pylist(), np.int64) > 0).astype(np.int64))
 
 
