@@ -120,12 +120,15 @@ def held_out():
 def train(documents: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Filters | None:
     """Learn from at most ``per_language`` documents of each of at most ``MAX_LANGUAGES`` languages."""
     usable = documents.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    frequent = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
-    order = Window.partitionBy("lang").orderBy(sample_order("doc_id"), "doc_id")
+    frequent = usable.groupBy("lang").agg(F.count("*").alias("_count")).orderBy(F.desc("_count"), "lang").limit(MAX_LANGUAGES)
+    place = F.shiftrightunsigned(sample_order("doc_id"), 1)
+    # the ids that hash lowest: a bound that some four times as many meet keeps the others out of the window
+    bound = F.least(F.lit(1.0), F.lit(4.0 * per_language) / F.col("_count")) * float(1 << 63)
     picked = (
         usable.select("doc_id", "lang")
-        .join(F.broadcast(frequent), "lang", "left_semi")  # MAX_LANGUAGES rows at most
-        .withColumn("_n", F.row_number().over(order))
+        .join(F.broadcast(frequent), "lang")  # MAX_LANGUAGES rows at most
+        .where(place <= bound)
+        .withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy(place, "doc_id")))
         .where(F.col("_n") <= per_language)
         .select("doc_id")
         .distinct()
