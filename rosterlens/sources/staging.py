@@ -12,7 +12,7 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder that driver and executors share; a temporary one only where everything runs in one JVM."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="rosterlens-")
         spark.conf.set("spark.checkpoint.dir", base)
