@@ -11,24 +11,28 @@ from ..operators import attribution, callsheet, compact, diff, metrics, reports,
 from ..operators.compact import RECORD
 from ..sources import corpus
 from ..sources.corpus import FETCH_DATE, SNAPSHOT
+from ..sources.staging import stage
 from .oracle_steps import query
 
 _KEY = "metric, subcode, evidence_strength, weight, source_sha256, record_idx, npi"
 
 
 class Audit:
-    """The relations of one run, each built once and lazily."""
+    """The relations of one run, each built once and lazily.
+
+    The bridges, the evidence and the scores are staged: an audit's steps hand tables on, and many reports start from them.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.c = corpus.load(spark, sf_dir)
 
     @cached_property
     def attached(self) -> DataFrame:
-        return compact.attach(self.c["provider_plans"])
+        return stage(compact.attach(self.c["provider_plans"]))
 
     @cached_property
     def record_counties(self) -> DataFrame:
-        return compact.record_counties(self.c["provider_addresses"], self.c["zip_county"])
+        return stage(compact.record_counties(self.c["provider_addresses"], self.c["zip_county"]))
 
     @cached_property
     def m3(self) -> DataFrame:
@@ -49,7 +53,7 @@ class Audit:
     @cached_property
     def m7(self) -> DataFrame:
         allowed = metrics.allowed_counties(self.c["service_area"], self.c["plan_attributes"], self.c["counties"], self.c["county_adjacency"])
-        return metrics.out_of_area(self.c["providers"], self.attached, self.record_counties, allowed, SNAPSHOT)
+        return stage(metrics.out_of_area(self.c["providers"], self.attached, self.record_counties, allowed, SNAPSHOT))
 
     @cached_property
     def m8(self) -> DataFrame:
@@ -65,7 +69,7 @@ class Audit:
 
     @cached_property
     def evidence(self) -> DataFrame:
-        return scoring.union([self.m3, self.m4, self.m5, self.m6, self.m8, self.m9, self.m10])
+        return stage(scoring.union([self.m3, self.m4, self.m5, self.m6, self.m8, self.m9, self.m10]))
 
     def small_evidence(self, suffix: str) -> DataFrame:
         """The checks that look at the records alone, for the snapshot before ('_before') or this one ('')."""
@@ -89,7 +93,7 @@ class Audit:
 
     @cached_property
     def scores(self) -> DataFrame:
-        return scoring.cell_scores(self.roster, self.penalties, self.rates)
+        return stage(scoring.cell_scores(self.roster, self.penalties, self.rates))
 
     @cached_property
     def calls(self) -> DataFrame:
@@ -100,6 +104,17 @@ class Audit:
         return callsheet.chosen_cells(callsheet.cell_inventory(self.calls), 5, 5)
 
 
+_AUDITS: dict[tuple[str, str], Audit] = {}
+
+
+def audit(spark: SparkSession, sf_dir: str) -> Audit:
+    """The audit of these tables, one for each application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _AUDITS:
+        _AUDITS[key] = Audit(spark, sf_dir)
+    return _AUDITS[key]
+
+
 def _fields(rows: DataFrame, **paths: str) -> DataFrame:
     """Evidence columns, and fields of ``observed``: name = kind."""
     own = [c.strip() for c in _KEY.split(",")]
@@ -217,5 +232,5 @@ DOMAIN = {
     ),
 }
 
-QUERIES = {name: (lambda spark, sf_dir, build=build: build(Audit(spark, sf_dir))) for name, (build, _) in DOMAIN.items()}
+QUERIES = {name: (lambda spark, sf_dir, build=build: build(audit(spark, sf_dir))) for name, (build, _) in DOMAIN.items()}
 ORACLES = {name: query(select) for name, (_, select) in DOMAIN.items()}
