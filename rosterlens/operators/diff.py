@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KEY = ("issuer_id", "metric", "subcode", "npi")
+_BY_PLAN = "metric = 'M7_OUT_OF_AREA_LISTING'"
 
 
 def previous_snapshot(snapshots: DataFrame, snapshot: str) -> DataFrame:
@@ -13,8 +14,9 @@ def previous_snapshot(snapshots: DataFrame, snapshot: str) -> DataFrame:
 
 
 def by_issuer(evidence: DataFrame, file_issuers: DataFrame) -> DataFrame:
-    """Evidence rows under every issuer that publishes their file."""
-    return evidence.join(file_issuers, "source_sha256")
+    """Evidence rows under every issuer that publishes their file; M7 rows once, under the issuer of their plan."""
+    files = evidence.where(f"NOT ({_BY_PLAN})").join(file_issuers, "source_sha256")
+    return files.unionByName(evidence.where(_BY_PLAN).withColumn("issuer_id", F.substring("plan_id", 1, 5)))
 
 
 def flag_status(before: DataFrame, now: DataFrame) -> DataFrame:

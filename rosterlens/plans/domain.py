@@ -78,6 +78,31 @@ class Audit:
         parts = [dates, metrics.stale_attestations(p, FETCH_DATE, SNAPSHOT), metrics.accepting_unknown(p, SNAPSHOT), metrics.npi_registry_status(p, self.c["nppes"], self.c["nppes_deactivated"], SNAPSHOT)]
         return diff.by_issuer(scoring.union(parts), self.c["file_issuers"])
 
+    @cached_property
+    def evidence_before(self) -> DataFrame:
+        """The keyed checks on the earlier snapshot's records, with the addresses and the registry that both share."""
+        p, a, n = self.c["providers_before"], self.c["provider_addresses"], self.c["nppes"]
+        parts = [
+            metrics.placeholder_values(p, a, FETCH_DATE, SNAPSHOT),
+            metrics.stale_attestations(p, FETCH_DATE, SNAPSHOT),
+            metrics.call_center_only(p, a, n, SNAPSHOT),
+            metrics.address_inflation(p, a, SNAPSHOT),
+            metrics.accepting_unknown(p, SNAPSHOT),
+            metrics.npi_registry_status(p, n, self.c["nppes_deactivated"], SNAPSHOT),
+            metrics.taxonomy_mismatch(p, n, SNAPSHOT),
+        ]
+        return stage(scoring.union(parts))
+
+    @cached_property
+    def m7_before(self) -> DataFrame:
+        allowed = metrics.allowed_counties(self.c["service_area"], self.c["plan_attributes"], self.c["counties"], self.c["county_adjacency"])
+        return stage(metrics.out_of_area(self.c["providers_before"], self.attached, self.record_counties, allowed, SNAPSHOT))
+
+    def findings(self, before: bool) -> DataFrame:
+        """All evidence of one snapshot, M7 included, under its issuers."""
+        parts = [self.evidence_before, self.m7_before] if before else [self.evidence, self.m7]
+        return diff.by_issuer(scoring.union(parts), self.c["file_issuers"])
+
     @cached_property
     def penalties(self) -> DataFrame:
         return scoring.record_penalties(self.evidence)
@@ -163,6 +188,14 @@ DOMAIN = {
         lambda a: diff.count_changes(a.small_evidence("_before"), a.small_evidence("")),
         "SELECT issuer_id, metric, coalesce(n_before, 0) AS n_before, coalesce(n_now, 0) AS n_now, coalesce(n_now, 0) - coalesce(n_before, 0) AS delta FROM (SELECT issuer_id, metric, count(*) AS n_before FROM evidence_before JOIN file_issuers USING (source_sha256) WHERE npi IS NULL GROUP BY 1, 2) b FULL JOIN (SELECT issuer_id, metric, count(*) AS n_now FROM evidence_small JOIN file_issuers USING (source_sha256) WHERE npi IS NULL GROUP BY 1, 2) n USING (issuer_id, metric)",
     ),
+    "flag_status_all": (
+        lambda a: diff.flag_status(a.findings(True), a.findings(False)),
+        "SELECT issuer_id, metric, subcode, npi, CASE WHEN max(now) = 0 THEN 'resolved' WHEN min(now) = 1 THEN 'new' ELSE 'persisting' END AS status FROM (SELECT metric, subcode, npi, source_sha256, 1 AS now FROM evidence UNION ALL SELECT metric, subcode, npi, source_sha256, 0 FROM all_before) JOIN file_issuers USING (source_sha256) WHERE npi IS NOT NULL GROUP BY 1, 2, 3, 4",
+    ),
+    "count_changes_all": (
+        lambda a: diff.count_changes(a.findings(True), a.findings(False)),
+        "SELECT issuer_id, metric, CAST(sum(1 - now) AS BIGINT) AS n_before, CAST(sum(now) AS BIGINT) AS n_now, CAST(sum(2 * now - 1) AS BIGINT) AS delta FROM (SELECT issuer_id, metric, 1 AS now FROM evidence JOIN file_issuers USING (source_sha256) WHERE npi IS NULL UNION ALL SELECT issuer_id, metric, 0 FROM all_before JOIN file_issuers USING (source_sha256) WHERE npi IS NULL UNION ALL SELECT substr(plan_id, 1, 5), metric, 1 FROM m7 UNION ALL SELECT substr(plan_id, 1, 5), metric, 0 FROM m7_before) GROUP BY 1, 2",
+    ),
     "grade_changes": (
         lambda a: diff.grade_changes(a.scores.withColumn("grade", F.when(F.col("county") != "01001", F.when(F.col("grade") == "A", "B").otherwise(F.col("grade")))), a.scores),
         "SELECT scid, county, scope, g AS grade_before, grade AS grade_now, CASE WHEN scope = 'bh' AND g IS NOT NULL AND grade IS NOT NULL THEN CASE WHEN grade < g THEN 'improved' ELSE 'declined' END END AS move FROM (SELECT scid, county, scope, grade, CASE WHEN county <> '01001' THEN CASE WHEN grade = 'A' THEN 'B' ELSE grade END END AS g FROM scores) WHERE coalesce(g, '') <> coalesce(grade, '')",

@@ -150,6 +150,13 @@ def test_diff(spark):
     assert diff.previous_snapshot(snapshots, "2026-07").first().previous == "2026-06" and diff.previous_snapshot(snapshots, "2026-06").first().previous is None
 
 
+def test_out_of_area_counts_go_to_the_issuer_of_the_plan(spark):
+    rows = spark.createDataFrame([("f", "M7_OUT_OF_AREA_LISTING", "X", "a", "22222AL0000001"), ("f", "M3", "X", None, None)], "source_sha256 string, metric string, subcode string, npi string, plan_id string")
+    found = diff.by_issuer(rows, spark.createDataFrame([("f", "11111"), ("f", "22222")], "source_sha256 string, issuer_id string"))
+    got = {(r.issuer_id, r.metric): r.delta for r in diff.count_changes(found.limit(0), found).collect()}
+    assert got == {("22222", "M7_OUT_OF_AREA_LISTING"): 1, ("11111", "M3"): 1, ("22222", "M3"): 1}
+
+
 def test_orphans(spark):
     evidence = spark.createDataFrame([("f", 0), ("f", 1)], "source_sha256 string, record_idx long")
     owners = spark.createDataFrame([("f", 0, "10000")], "source_sha256 string, record_idx long, issuer_id string")
