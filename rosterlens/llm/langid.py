@@ -1,9 +1,9 @@
 """Language identification with bit-sliced Bloom filters of n-grams.
 
 One array of bit masks holds a Bloom filter for every language at once: bit ``l`` of each slot belongs to language
-``l``, and the AND of the slots of an n-gram's hashes names all languages that contain it. The counts of each language,
-corrected for its filter's false-positive rate, decide. N-grams are bytes of the lower-cased text in which every
-ASCII character other than a letter is a space.
+``l`` (beyond 64 languages a slot has several words), and the AND of the slots of an n-gram's hashes names all languages
+that contain it. The counts of each language, corrected for its filter's false-positive rate, decide. N-grams are bytes
+of the lower-cased text in which every ASCII character other than a letter is a space.
 
 The filters are learned from a bounded sample: ``SAMPLE_PER_LANGUAGE`` documents of each language, picked by a hash of
 their ids, out of those with crc32(doc_id) mod 3 other than 1.
@@ -22,11 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix64, sample_order, slices, text_bytes
+from .common import materialize, mix64, sample_order, slices, text_bytes
 
 SAMPLE_PER_LANGUAGE = 400
-#: More languages than this are not learned (the most frequent ones are); a mask has one bit for each.
-MAX_LANGUAGES = 64
 #: Sizes of n-grams in bytes; at most eight.
 GRAMS = (4, 6)
 HASHES = 2
@@ -71,18 +69,19 @@ def _slots(grams: np.ndarray, size: int):
 @dataclass(frozen=True)
 class Filters:
     languages: tuple[str, ...]
-    masks: np.ndarray  # of 1 << SLOTS_LOG2 bit masks
+    masks: np.ndarray  # 1 << SLOTS_LOG2 bit masks of one or more words
     false_rate: np.ndarray  # of each language
 
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
         n = len(column)
         counts, total = np.zeros((len(self.languages), n)), np.zeros(n)
         for size, (grams, parts) in zip(GRAMS, _grams(column), strict=True):
-            found = None
-            for at in _slots(grams, size):
-                found = self.masks[at] if found is None else found & self.masks[at]
+            slots, kind = list(_slots(grams, size)), self.masks.dtype.type
+            bits = self.masks.dtype.itemsize * 8
             for i in range(len(self.languages)):
-                hits = np.concatenate(([0], np.cumsum((found >> self.masks.dtype.type(i)) & self.masks.dtype.type(1), dtype=np.int64)))
+                if i % bits == 0:
+                    found = np.bitwise_and.reduce([self.masks[at, i // bits] for at in slots])
+                hits = np.concatenate(([0], np.cumsum((found >> kind(i % bits)) & kind(1), dtype=np.int64)))
                 counts[i] += np.diff(hits[parts])
             total += np.diff(parts)
         rate = self.false_rate[:, None]
@@ -99,17 +98,32 @@ def has_letter(text: str | None) -> bool:
 
 
 def build(grams: dict[str, list[np.ndarray]]) -> Filters | None:
-    """Filters from each language's distinct n-grams, one array per size."""
-    languages = tuple(sorted(grams))
+    """Filters from each language's n-grams, one array per size."""
+    return combine({language: _filter(own) for language, own in grams.items()})
+
+
+def _filter(grams: list[np.ndarray]) -> np.ndarray:
+    """One language's filter, packed to a bit per slot."""
+    own = np.zeros(1 << SLOTS_LOG2, bool)
+    for size, values in zip(GRAMS, grams, strict=True):
+        for at in _slots(values, size):
+            own[at] = True
+    return np.packbits(own)
+
+
+def combine(packed: dict[str, np.ndarray]) -> Filters | None:
+    """One array of masks from each language's packed filter."""
+    languages = tuple(sorted(packed))
     if not languages:
         return None
-    kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if np.iinfo(t).bits >= len(languages))
-    masks = np.zeros(1 << SLOTS_LOG2, kind)
+    kind = next((t for t in (np.uint8, np.uint16, np.uint32) if np.iinfo(t).bits >= len(languages)), np.uint64)
+    bits = np.iinfo(kind).bits
+    masks = np.zeros((1 << SLOTS_LOG2, -(-len(languages) // bits)), kind)
+    fill = np.zeros(len(languages))
     for i, language in enumerate(languages):
-        for size, values in zip(GRAMS, grams[language], strict=True):
-            for at in _slots(values, size):
-                masks[at] |= kind(1 << i)
-    fill = np.array([np.count_nonzero(masks & kind(1 << i)) / len(masks) for i in range(len(languages))])
+        own = np.unpackbits(packed[language])
+        masks[:, i // bits] |= own.astype(kind) << kind(i % bits)
+        fill[i] = own.mean()
     return Filters(languages, masks, np.minimum(fill**HASHES, 0.99))
 
 
@@ -118,42 +132,46 @@ def held_out():
 
 
 def train(documents: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Filters | None:
-    """Learn from at most ``per_language`` documents of each of at most ``MAX_LANGUAGES`` languages."""
+    """Learn from at most ``per_language`` documents of each language."""
     usable = documents.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    frequent = usable.groupBy("lang").agg(F.count("*").alias("_count")).orderBy(F.desc("_count"), "lang").limit(MAX_LANGUAGES)
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("_count"))
     place = F.shiftrightunsigned(sample_order("doc_id"), 1)
     # the ids that hash lowest: a bound that some four times as many meet keeps the others out of the window
     bound = F.least(F.lit(1.0), F.lit(4.0 * per_language) / F.col("_count")) * float(1 << 63)
     picked = (
         usable.select("doc_id", "lang")
-        .join(F.broadcast(frequent), "lang")  # MAX_LANGUAGES rows at most
+        .join(F.broadcast(sizes), "lang")  # a row per language, each of which has a filter on the driver
         .where(place <= bound)
         .withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy(place, "doc_id")))
         .where(F.col("_n") <= per_language)
-        .select("doc_id")
+        .select("lang", "doc_id")
         .distinct()
     )
-    texts = (
-        usable.select("doc_id", "lang", "text")
-        .join(F.broadcast(picked), "doc_id", "left_semi")  # per_language * MAX_LANGUAGES rows at most
-        .orderBy(sample_order("doc_id", "text"))
-        .limit(per_language * MAX_LANGUAGES)
-    )
+    picked = materialize(picked, "language-sample")  # so that its size is known and decides how it is joined
+    texts = usable.select("doc_id", "lang", "text").join(picked, ["lang", "doc_id"], "left_semi")
 
     def rows(batches):
+        own: dict[str, np.ndarray] = {}
         for batch in slices(batches):
-            names = np.array(batch.column("lang").to_pylist())
-            for k, (grams, parts) in enumerate(_grams(batch.column("text"))):
-                of = np.repeat(names, np.diff(parts))
-                for name in sorted(set(names)):
-                    values = np.unique(grams[of == name])
-                    yield pa.RecordBatch.from_arrays([pa.array([str(name)]), pa.array([k], pa.int32()), pa.array([values.tobytes()], pa.binary())], ["lang", "k", "grams"])
-
-    found: dict[str, list[np.ndarray]] = {}
-    for row in texts.mapInArrow(rows, "lang string, k int, grams binary").toLocalIterator():
-        own = found.setdefault(row.lang, [np.zeros(0, np.uint64) for _ in GRAMS])
-        own[row.k] = np.union1d(own[row.k], np.frombuffer(row.grams, np.uint64))
-    return build(found)
+            names, of_row = np.unique(np.array(batch.column("lang").to_pylist(), object), return_inverse=True)
+            learned = []
+            for grams, parts in _grams(batch.column("text")):
+                of = np.repeat(of_row, np.diff(parts))
+                order = np.argsort(of, kind="stable")
+                learned.append(np.split(grams[order], np.searchsorted(of[order], np.arange(1, len(names)))))
+            for name, *grams in zip(names, *learned, strict=True):
+                packed = _filter(grams)
+                own[name] = own[name] | packed if name in own else packed
+        for name, packed in own.items():
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([packed.tobytes()], pa.binary())], ["lang", "filter"])
+
+    def merge(parts: pa.Table) -> pa.Table:
+        packed = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in parts.column("filter").to_pylist()])
+        return pa.table({"lang": parts.column("lang")[:1], "filter": pa.array([packed.tobytes()], pa.binary())})
+
+    kind = "lang string, filter binary"
+    merged = texts.mapInArrow(rows, kind).groupBy("lang").applyInArrow(merge, kind)
+    return combine({row.lang: np.frombuffer(row.filter, np.uint8) for row in merged.toLocalIterator()})
 
 
 def _predict(filters: Filters | None, column: pa.Array) -> tuple[list[str], np.ndarray]:

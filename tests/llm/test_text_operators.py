@@ -86,6 +86,16 @@ def test_bit_sliced_filters_name_every_language_of_a_gram():
             assert (found >> i & 1).all()
 
 
+def test_every_language_is_learned(spark):
+    texts = {f"l{n:03}": " ".join(chr(97 + n // 12) + chr(97 + n % 12) + w for w in ("stone", "river", "garden", "window")) for n in range(140)}
+    rows = [(20 * n + i, text, lang) for n, (lang, text) in enumerate(texts.items()) for i in range(6)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    filters = langid.train(documents)
+    assert filters.languages == tuple(texts) and filters.masks.shape[1] == 3
+    want = {i: lang for i, _, lang in rows}
+    assert all(r.lang_pred == want[r.doc_id] for r in langid.identify(documents, filters).collect())
+
+
 # -- BPE
 
 
