@@ -6,7 +6,8 @@ that contain it. The counts of each language, corrected for its filter's false-p
 of the lower-cased text in which every ASCII character other than a letter is a space.
 
 The filters are learned from a bounded sample: ``SAMPLE_PER_LANGUAGE`` documents of each language, picked by a hash of
-their ids, out of those with crc32(doc_id) mod 3 other than 1.
+their ids, out of those with crc32(doc_id) mod 3 other than 1. Rows that repeat an id in a language are one document, of
+which one text is learned.
 
 Defined results: null texts and texts without letters are ``und`` with score 0, as is every text when nothing could be
 learned; a null doc_id counts as not held out and is never learned from; ties go to the first language by name; rows
@@ -80,7 +81,8 @@ class Filters:
             bits = self.masks.dtype.itemsize * 8
             for i in range(len(self.languages)):
                 if i % bits == 0:
-                    found = np.bitwise_and.reduce([self.masks[at, i // bits] for at in slots])
+                    word = self.masks[:, i // bits]
+                    found = np.bitwise_and.reduce([word[at] for at in slots])
                 hits = np.concatenate(([0], np.cumsum((found >> kind(i % bits)) & kind(1), dtype=np.int64)))
                 counts[i] += np.diff(hits[parts])
             total += np.diff(parts)
@@ -134,21 +136,26 @@ def held_out():
 def train(documents: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Filters | None:
     """Learn from at most ``per_language`` documents of each language."""
     usable = documents.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("_count"))
+    ids = usable.select("lang", "doc_id").distinct()  # repeated rows count once
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("_count"))
     place = F.shiftrightunsigned(sample_order("doc_id"), 1)
     # the ids that hash lowest: a bound that some four times as many meet keeps the others out of the window
     bound = F.least(F.lit(1.0), F.lit(4.0 * per_language) / F.col("_count")) * float(1 << 63)
     picked = (
-        usable.select("doc_id", "lang")
-        .join(F.broadcast(sizes), "lang")  # a row per language, each of which has a filter on the driver
+        ids.join(F.broadcast(sizes), "lang")  # a row per language, each of which has a filter on the driver
         .where(place <= bound)
         .withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy(place, "doc_id")))
         .where(F.col("_n") <= per_language)
         .select("lang", "doc_id")
-        .distinct()
     )
     picked = materialize(picked, "language-sample")  # so that its size is known and decides how it is joined
-    texts = usable.select("doc_id", "lang", "text").join(picked, ["lang", "doc_id"], "left_semi")
+    texts = (
+        usable.select("doc_id", "lang", "text")
+        .join(picked, ["lang", "doc_id"], "left_semi")
+        .groupBy("lang", "doc_id")
+        .agg(F.min_by("text", F.struct(sample_order("text"), "text")).alias("text"))
+        .select("lang", "text")
+    )
 
     def rows(batches):
         own: dict[str, np.ndarray] = {}

@@ -96,6 +96,19 @@ def test_every_language_is_learned(spark):
     assert all(r.lang_pred == want[r.doc_id] for r in langid.identify(documents, filters).collect())
 
 
+def test_repeated_rows_are_one_document_of_the_sample(spark):
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 3 != 1][:3]
+    texts = dict(zip(ids, ("alpha stone", "bravo river", "gamma window"), strict=True))
+    rows = spark.createDataFrame([(i, t, "aa") for i, t in texts.items()], "doc_id long, text string, lang string")
+    often = rows.crossJoin(spark.range(5000).select()).unionByName(spark.createDataFrame([(ids[0], "other words", "bb")], rows.schema))
+    plain, filters = langid.train(rows), langid.train(often)
+    assert filters.languages == ("aa", "bb")
+    assert (filters.masks[:, 0] & 1 == plain.masks[:, 0]).all()
+    few = langid.train(often, per_language=1)
+    alone = [langid.train(rows.where(f"doc_id = {i}")).masks[:, 0] for i in ids]
+    assert any((few.masks[:, 0] & 1 == x).all() for x in alone)
+
+
 # -- BPE
 
 
