@@ -213,7 +213,10 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Model
 
 
 def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """Fit the classifier to at most ``sample_rows`` labelled documents, picked by a hash of their ids."""
+    """Fit the classifier to at most ``sample_rows`` labelled documents, picked by a hash of their ids.
+
+    Rows that repeat an id are one document, of which one text is learned.
+    """
     picked = (
         labels.where("doc_id is not null and quality is not null")
         .groupBy("doc_id")
@@ -225,6 +228,8 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
         documents.select("doc_id", "text")
         .where("text is not null")
         .join(F.broadcast(picked), "doc_id")  # sample_rows rows at most
+        .groupBy("doc_id", "_quality")
+        .agg(F.min_by("text", F.struct(sample_order("text"), "text")).alias("text"))
         .orderBy(sample_order("doc_id", "text"))
         .limit(sample_rows)
     )

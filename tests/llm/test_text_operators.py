@@ -58,6 +58,16 @@ def test_quality_model(spark, awkward, nothing):
     assert quality.judge(awkward, None).where("kept = base_failed").count() == 0
 
 
+def test_repeated_rows_leave_the_other_labelled_documents_in_the_sample(spark, monkeypatch):
+    documents, labels = labelled(spark)
+    often = documents.crossJoin(spark.range(50).select())
+    fitted = []
+    monkeypatch.setattr(quality, "fit", lambda rows, y: fitted.append((len(rows), int(y.sum()))))
+    quality.train(documents, labels, sample_rows=40)
+    quality.train(often, labels, sample_rows=40)
+    assert fitted[0] == fitted[1] and fitted[0][0] == 40
+
+
 # -- language
 
 
