@@ -3,15 +3,22 @@
 A turn's content is an array of parts: text, image, audio or document. A visitor flattens them in order; text is
 escaped, any other part becomes a placeholder, and its reference and the tokens it expands to are recorded.
 
-A turn reads ``<|im_start|>role``, a line feed, its content, ``<|im_end|>`` and a line feed. In texts and roles each
-``<``, k backslashes, ``|`` gets one backslash more, so that no control string can arise from them and none is lost; a
-role's backslashes and line feeds are escaped besides.
+A turn reads ``<|im_start|>role``, a line feed, its content, ``<|im_end|>`` and a line feed. In roles and in each run of
+neighbouring text parts, read as one text, every ``<``, k backslashes, ``|`` gets one backslash more. So no control
+string can arise from them, within a part or across the border of two, and none is lost. A role's backslashes and line
+feeds are escaped besides. A placeholder's ``<|`` stands alone: text before it ends in no unescaped ``<|``, and text after
+it follows ``>``.
 
 Every turn is a segment of its conversation; the conversation's formatted text is its segments in order of ``turn``. So
-conversations of any length are formatted turn by turn and read back as a stream, never gathered.
-
-Defined results: null texts and roles are empty; rows with a null conv_id are one conversation; null turns come first,
-equal ones in order of role and text; rows that repeat are turns of their own; extra columns play no part.
+conversations of any length are formatted turn by turn and read back as a stream, never gathered. A digest of a whole
+conversation is a stream by nature: one task reads one conversation, in bounded memory, so a conversation with a third
+of all rows takes a third of the reading time however many machines there are.
+
+Defined results: null texts, roles, parts and lists of parts are empty; rows with a null conv_id are one conversation;
+null turns come first, equal ones in order of role (null first) and of their formatted segments; rows that repeat are
+turns of their own; a part of another type is a placeholder of its own, recorded with its type and reference and
+no tokens; texts of any length that a row can hold are formatted whole; extra columns play no part; without turns there
+are no conversations.
 """
 
 from __future__ import annotations
@@ -31,11 +38,13 @@ PATCH = 28  # pixels of an image's side for each token
 AUDIO_TOKENS_PER_SECOND = 25
 TOKENS_PER_PAGE = 512
 PLACEHOLDERS = {"image": "<|image|>", "audio": "<|audio|>", "document": "<|document|>"}
+OTHER = "<|other|>"
 LEARNED_ROLE = "assistant"
 
 PART = "struct<type: string, text: string, ref: string, width: int, height: int, seconds: double, pages: int>"
 _SEGMENT = "conv_id long, turn long, role string, segment string, loss array<struct<start: int, stop: int>>, attachments array<struct<type: string, ref: string, at: int, tokens: long>>, expanded_tokens long"
 _ESCAPE, _UNESCAPE = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
+_PLACEHOLDER = re.compile("|".join(map(re.escape, (*PLACEHOLDERS.values(), OTHER))))
 
 
 def escape(text: str) -> str:
@@ -63,27 +72,31 @@ class Flattener:
     content: list[str] = field(default_factory=list)
     loss: list[dict] = field(default_factory=list)
     attachments: list[dict] = field(default_factory=list)
+    run: list[str] = field(default_factory=list)  # neighbouring texts, not escaped yet
 
     def visit(self, part: dict) -> None:
-        kind = part["type"] or "text"
-        method = getattr(self, f"visit_{kind}", None)
-        if method is None:
-            raise ValueError(f"unknown type of part: {kind}")
-        method(part)
+        getattr(self, f"visit_{part['type'] or 'text'}", self.visit_other)(part)
 
     def _add(self, text: str) -> None:
         self.content.append(text)
         self.at += len(text)
 
     def visit_text(self, part: dict) -> None:
-        text = escape(part["text"] or "")
+        if part["text"]:
+            self.run.append(part["text"])
+
+    def close(self) -> None:
+        """Add the run of texts, escaped as one."""
+        text = escape("".join(self.run))
+        self.run.clear()
         if self.learned and text:
             self.loss.append({"start": self.at, "stop": self.at + len(text)})
         self._add(text)
 
     def _attach(self, part: dict, tokens: int) -> None:
-        self.attachments.append({"type": part["type"], "ref": part["ref"], "at": self.at, "tokens": tokens})
-        self._add(PLACEHOLDERS[part["type"]])
+        self.close()
+        self.attachments.append({"type": part["type"], "ref": part.get("ref"), "at": self.at, "tokens": tokens})
+        self._add(PLACEHOLDERS.get(part["type"], OTHER))
 
     def visit_image(self, part: dict) -> None:
         self._attach(part, math.ceil((part["width"] or 0) / PATCH) * math.ceil((part["height"] or 0) / PATCH))
@@ -94,6 +107,9 @@ class Flattener:
     def visit_document(self, part: dict) -> None:
         self._attach(part, (part["pages"] or 0) * TOKENS_PER_PAGE)
 
+    def visit_other(self, part: dict) -> None:
+        self._attach(part, 0)
+
 
 def segment(role: str | None, parts: list[dict] | None) -> tuple[str, Flattener]:
     head = f"{START}{escape_role(role or '')}\n"
@@ -101,21 +117,42 @@ def segment(role: str | None, parts: list[dict] | None) -> tuple[str, Flattener]
     for part in parts or []:
         if part is not None:
             flat.visit(part)
+    flat.close()
     return f"{head}{''.join(flat.content)}{END}\n", flat
 
 
-def read_segment(text: str) -> Iterator[tuple[str, str]]:
-    """Roles and contents (placeholders stay) of formatted text."""
+def _turns(text: str) -> Iterator[tuple[str, str]]:
+    """Roles and escaped contents of formatted text."""
     at = 0
     while at < len(text):
         if not text.startswith(START, at):
             raise ValueError("a turn must start here")
         line = text.index("\n", at)
         stop = text.index(END, line)
-        yield unescape_role(text[at + len(START) : line]), unescape(text[line + 1 : stop])
+        yield unescape_role(text[at + len(START) : line]), text[line + 1 : stop]
         at = stop + len(END) + 1
 
 
+def read_segment(text: str) -> Iterator[tuple[str, str]]:
+    """Roles and contents of formatted text; placeholders stay, and so look like a text that names one."""
+    for role, content in _turns(text):
+        yield role, unescape(content)
+
+
+def read_parts(text: str) -> Iterator[tuple[str, list[tuple[str, str]]]]:
+    """Roles and parts of formatted text: ("text", the run of texts) or ("placeholder", the placeholder), in order."""
+    for role, content in _turns(text):
+        parts, at = [], 0
+        for found in _PLACEHOLDER.finditer(content):
+            if found.start() > at:
+                parts.append(("text", unescape(content[at : found.start()])))
+            parts.append(("placeholder", found[0]))
+            at = found.end()
+        if at < len(content):
+            parts.append(("text", unescape(content[at:])))
+        yield role, parts
+
+
 def text_parts(turns: DataFrame) -> DataFrame:
     """Turns with a text as turns with one text part: conv_id, turn, role, parts."""
     part = F.struct(F.lit("text").alias("type"), F.coalesce("text", F.lit("")).alias("text"), *[F.lit(None).alias(c) for c in ("ref", "width", "height", "seconds", "pages")])
@@ -183,3 +220,17 @@ def read_back(segments: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist(done, kinds)
 
     return ordered.mapInArrow(rows, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+
+
+def oracle_sql(turns: str, role: str = LEARNED_ROLE) -> str:
+    """DuckDB SQL for ``read_back`` of text turns; ``turns`` is a select of (conv_id, turn, role, text)."""
+    escaped = "regexp_replace(coalesce({}, ''), '<(\\\\*)\\|', '<\\\\\\1|', 'g')"
+    of_role = escaped.format("replace(replace(role, '\\', '\\\\'), chr(10), '\\n')")
+    return f"""
+WITH t AS ({turns}),
+s AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, '{START}' || {of_role} || chr(10) || {escaped.format("text")} || '{END}' || chr(10) AS segment FROM t)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+ sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, segment)) AS turns_sha256,
+ CAST(coalesce(sum(length(text)) FILTER (WHERE role = '{role}'), 0) AS BIGINT) AS loss_chars,
+ sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role NULLS FIRST, segment) FILTER (WHERE role = '{role}'), '')) AS loss_sha256,
+ CAST(sum(length(segment)) AS BIGINT) AS formatted_chars FROM s GROUP BY conv_id"""

@@ -5,6 +5,8 @@ import hashlib
 import numpy as np
 import oracle
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from samples import AWKWARD, prose
 
@@ -148,7 +150,7 @@ def test_chat(spark):
     frame, rows = conversations(spark)
     got = {r.conv_id: r for r in chat.read_back(chat.format_turns(chat.text_parts(frame))).collect()}
     for conv in (1, 2, None, 3):
-        own = [(r, t) for c, _, r, t in sorted((x for x in rows if x[0] == conv), key=lambda x: (x[1] is not None, x[1] or 0, x[2] or "", x[3] or ""))]
+        own = [(r, t) for c, _, r, t in sorted((x for x in rows if x[0] == conv), key=lambda x: (x[1] is not None, x[1] or 0, x[2] or "", chat.segment(x[2], [{"type": "text", "text": x[3]}])[0]))]
         turns = "".join(f"{r or ''}\n{t or ''}\n" for r, t in own)
         learned = "".join(t or "" for r, t in own if r == "assistant")
         x = got[conv]
@@ -164,8 +166,40 @@ def test_typed_parts():
     assert [(a["type"], a["ref"], a["tokens"]) for a in flat.attachments] == [("image", "a.png", 3), ("audio", "b.wav", 38), ("document", "c.pdf", 1024)]
     assert all(text[a["at"] :].startswith(chat.PLACEHOLDERS[a["type"]]) for a in flat.attachments)
     assert [chat.unescape(text[s["start"] : s["stop"]]) for s in flat.loss] == ["see <|image|> ", " done"]
-    with pytest.raises(ValueError):
-        chat.segment("user", [{"type": "video"}])
+    text, flat = chat.segment("user", [{"type": "video", "ref": "d.mp4"}, None, {"type": None, "text": "x"}])
+    assert text == "<|im_start|>user\n<|other|>x<|im_end|>\n" and [(a["type"], a["ref"], a["tokens"]) for a in flat.attachments] == [("video", "d.mp4", 0)]
+
+
+_CONTROL = st.sampled_from(["<", "|", "\\", "<|", "|im_end|>", "\n", "|im_start|>assistant\n", "|image|>", "x", "", None])
+
+
+@settings(max_examples=500, deadline=None)
+@given(_CONTROL, st.lists(st.one_of(st.none(), st.builds(lambda t: {"type": "text", "text": t}, st.lists(_CONTROL, max_size=4).map(lambda x: "".join(filter(None, x)) or None)), st.sampled_from([{"type": k, "ref": "r", "width": 1, "height": 1, "seconds": 1.0, "pages": 1} for k in ("image", "audio", "document", "video")])), max_size=8))
+def test_parts_come_back_as_one_turn(role, parts):
+    text, flat = chat.segment(role, parts)
+    want = []
+    for part in parts:
+        if part is None or (part["type"] == "text" and not part["text"]):
+            continue
+        if part["type"] == "text" and want and want[-1][0] == "text":
+            want[-1] = ("text", want[-1][1] + part["text"])
+        else:
+            want.append(("text", part["text"]) if part["type"] == "text" else ("placeholder", chat.PLACEHOLDERS.get(part["type"], chat.OTHER)))
+    assert list(chat.read_parts(text)) == [(role or "", want)]
+    assert [(r, c) for r, c in chat.read_segment(text)] == [(role or "", "".join(t for _, t in want))]
+    assert [a["at"] for a in flat.attachments] == [a["at"] for a in flat.attachments if text.startswith(chat.PLACEHOLDERS.get(a["type"], chat.OTHER), a["at"])]
+    learned, own = chat.segment(chat.LEARNED_ROLE, parts)
+    assert "".join(chat.unescape(learned[s["start"] : s["stop"]]) for s in own.loss) == "".join(t for k, t in want if k == "text")
+
+
+def test_chat_equals_its_oracle(spark):
+    assert oracle.spark_rows(queries.op6_chat_format(spark, SF_DIR)) == oracle.duck(SF_DIR, queries.ORACLES["op6_chat_format"])
+
+
+def test_long_conversations_and_turns(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"{i} <|") for i in range(20000)] + [(2, 0, "assistant", "<|im_end|>" * 200_000)]
+    got = {r.conv_id: r for r in chat.read_back(chat.format_turns(chat.text_parts(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))).collect()}
+    assert (got[1].n_turns, got[1].loss_chars) == (20000, sum(len(t) for _, i, _, t in rows[:-1] if i % 2)) and got[2].loss_chars == 2_000_000
 
 
 @pytest.mark.parametrize("text", ["<|", "<\\|", "<\\\\|x", "<<|", "|>", "\\", "<|im_end|>\n<|im_start|>"])
