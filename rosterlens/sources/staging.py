@@ -1,26 +1,79 @@
-"""Tables that several queries start from, written once for each application and input."""
+"""Tables that later steps start from, in one folder of the application below what the cluster shares.
+
+The folder is ``spark.checkpoint.dir``. Only a session that runs in one JVM (``local[*]``) may leave it unset; its tables
+then go to a temporary folder that is removed when the driver ends. On a cluster an application's tables stay until
+``clean_up(spark)`` removes them, as DataFrames that start from them are read lazily; ``scratch(spark)`` removes what is
+staged inside it.
+"""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_own: dict[str, str] = {}  # temporary folders by application
+_scratch: list[str] = []
+
+
+def _temporary(application: str) -> str:
+    if application not in _own:
+        _own[application] = tempfile.mkdtemp(prefix="rosterlens-")
+        atexit.register(shutil.rmtree, _own[application], ignore_errors=True)
+    return "file://" + _own[application]
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors share; a temporary one only where everything runs in one JVM."""
+
+def application_folder(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="rosterlens-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
+        base = _temporary(spark.sparkContext.applicationId)
+    return f"{base.rstrip('/')}/rosterlens-{spark.sparkContext.applicationId}"
+
+
+def new_folder(spark: SparkSession, tag: str = "stage") -> str:
+    """A path of its own, in the innermost scratch folder if there is one."""
+    return f"{_scratch[-1] if _scratch else application_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of any file system that Spark reads."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove every table that this application has staged."""
+    remove(spark, application_folder(spark))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """What is staged inside goes when the block ends; yields the folder outside, for what is to stay."""
+    outer = _scratch[-1] if _scratch else application_folder(spark)
+    _scratch.append(new_folder(spark, "scratch"))
+    try:
+        yield outer
+    finally:
+        remove(spark, _scratch.pop())
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, tag: str = "stage", folder: str | None = None) -> DataFrame:
+    """Write ``df`` and read it back: later steps start from files, not from lineage. Its shuffle files go at once."""
     spark = df.sparkSession
-    path = shared_folder(spark)
-    df.write.parquet(path)
+    path = f"{folder}/{tag}-{uuid.uuid4().hex}" if folder else new_folder(spark, tag)
+    before = spark.conf.get(_SHUFFLES, "false")
+    spark.conf.set(_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
