@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
+
 #: Texts are handled in slices of about this many bytes, so that NumPy's temporaries stay small.
 CHUNK_BYTES = 1 << 20
 
@@ -20,32 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession, tag: str) -> str:
-    """A new path below the folder that the cluster shares (``spark.checkpoint.dir``).
-
-    Only a session that runs in one JVM (``local[*]``) may fall back to a temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="rosterlens-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-
-
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later steps start from files, not from lineage."""
-    spark = df.sparkSession
-    path = shared_dir(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of plans that are no longer referenced."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    return stage(df, tag)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -75,5 +75,6 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.oracle_sql(),
+    "op2_warc": warc.oracle_sql(),
     "op6_chat_format": chat.oracle_sql(f"SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT -1, 0, 'user', '{HOSTILE}' UNION ALL SELECT -1, 1, 'assistant', '{HOSTILE}'"),
 }

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import fresh, materialize, mix64, release_shuffles, slices, text_bytes
+from .common import fresh, materialize, mix64, slices, text_bytes
 
 LENGTH = 100
 GRAM = 24
@@ -394,13 +394,10 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _with_spans(documents: DataFrame, length: int) -> tuple[DataFrame, str]:
     """All columns of the documents and an array of (at, n): n strings from place at on repeat earlier ones."""
-    spark = documents.sparkSession
     text = F.coalesce("text", F.lit(""))
     keyed = documents.select(F.coalesce("doc_id", F.lit(_NO_DOC)).alias("doc"), F.xxhash64(text).alias("twin"), text.alias("text"))
     met = materialize(_meet(keyed, length), "segments")
-    release_shuffles(spark)
     other = materialize(_compare(keyed, met.where("anchor is not null"), length), "strings")
-    release_shuffles(spark)
     spans = fresh(documents, "spans")
     found = met.where("anchor is null").unionByName(other).groupBy("doc", "twin").agg(F.collect_list(F.struct("at", "n")).alias(spans))
     doc, twin = fresh(documents, "doc"), fresh(documents, "twin")

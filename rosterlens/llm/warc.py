@@ -7,14 +7,16 @@ per partition, so their number is bounded by ``spark.sql.shuffle.partitions``),
 and expands one block by its range, binary-searches its lines and reads the record by its range.
 
 Of captures with equal payloads that with the largest page_id is stored, the others are revisits of it. Payloads are
-moved once, by key; roles are found on (key, digest) alone and meet the payloads in key order.
+moved once, by key; roles are found on (key, digest) alone and meet the payloads in key order. Digests are joined table
+to table, so a payload that a third of all pages share is split over tasks.
 
 Files go to the shared folder under names of their own, so that a task that runs again leaves the first run's files
 unread; a shard counts only if its task's result came back. The folder is reached through pyarrow's file systems.
 
 Defined results: a null html is an empty payload; a null url has an empty key; a null page_id is the smallest, and where
 all ids of a payload are null all its rows are responses, as are rows that repeat the largest id; rows that repeat are
-captures of their own; without pages there are no archives.
+captures of their own; without pages there are no archives; a page is one record whatever its length (a task holds a
+few times the longest); extra columns play no part.
 """
 
 from __future__ import annotations
@@ -36,7 +38,8 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, shared_dir
+from ..sources.staging import new_folder
+from .common import materialize
 
 #: Index lines of a block.
 BLOCK_LINES = 512
@@ -106,12 +109,14 @@ def write_archives(pages: DataFrame, folder: str | None = None, revisit_from: in
     Equal payloads of less than ``revisit_from`` bytes are all stored.
     """
     spark = pages.sparkSession
-    folder = folder or shared_dir(spark, "warc")
+    folder = folder or new_folder(spark, "warc")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     payload = F.coalesce(F.encode("html", "UTF-8"), F.lit(b""))
     captures = pages.select(capture_key(F.col("url"), F.col("page_id")).alias("key"), F.col("page_id").cast("long"), "url", "html", F.sha1(payload).alias("digest"), F.octet_length(payload).alias("size"))
-    narrow = captures.select("key", "page_id", "digest", "size")
-    first = narrow.where(F.col("size") >= revisit_from).groupBy("digest").agg(F.max("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # both sides of the join are tables, so that Spark can split a digest with any share of the rows
+    narrow = materialize(captures.where(F.col("size") >= revisit_from).select("key", "page_id", "digest"), "captures")
+    first = narrow.groupBy("digest").agg(F.max("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = materialize(first, "firsts")
     again = narrow.join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("first_id"))).select("key", "digest", F.col("first_id").alias("refers_to"))
     empty = [F.lit(None).cast(t).alias(c) for c, t in (("page_id", "long"), ("url", "string"), ("html", "string"), ("size", "int"))]
     both = captures.select("key", "digest", "page_id", "url", "html", "size", F.lit(None).cast("long").alias("refers_to"), F.lit(True).alias("capture")).unionByName(
@@ -256,3 +261,16 @@ def read_stream(raw: bytes) -> Iterator[dict]:
         record_bytes = expand.decompress(raw[at:])
         stream.seek(len(raw) - len(expand.unused_data))
         yield read_record(record_bytes)
+
+
+def oracle_sql(pages: str = "pages") -> str:
+    """DuckDB SQL for ``archive_and_read`` of a table with page_id, url and html."""
+    nibble = "CAST('0x' || substr(hex, {}, 1) AS INTEGER)"
+    byte = f"({nibble.format('i * 5 // 4 + 1')} * 16 + {nibble.format('i * 5 // 4 + 2')})"
+    return f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM {pages}),
+first AS (SELECT hex, max(page_id) AS first_id FROM p GROUP BY hex)
+SELECT CAST(page_id AS BIGINT) AS page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+ list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(({byte} >> CAST(3 - i * 5 % 4 AS INTEGER)) & 31 AS INTEGER) + 1, 1)), 'string_agg', '') AS payload_digest,
+ CASE WHEN first_id IS NULL OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+ CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to FROM p JOIN first USING (hex)"""

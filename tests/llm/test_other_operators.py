@@ -75,6 +75,18 @@ def test_index_and_archives_hold_the_same_records(spark, monkeypatch):
     assert {p for _, p in found if p} == {f"<p>{i}</p>".encode() for i in range(40)}
 
 
+def test_archives_equal_their_oracle(spark):
+    assert oracle.spark_rows(queries.op2_warc(spark, SF_DIR)) == oracle.duck(SF_DIR, queries.ORACLES["op2_warc"])
+
+
+def test_long_pages_and_a_payload_of_most_pages(spark):
+    pages = spark.range(3000).selectExpr("id AS page_id", "concat('http://h.example.com/', id) AS url", "CASE WHEN id = 7 THEN repeat('long ', 2000000) WHEN id % 3 > 0 THEN 'missing' ELSE concat('p', id) END AS html")
+    got = {r.page_id: r for r in warc.archive_and_read(pages).collect()}
+    assert len(got) == 3000 and got[7].payload_bytes == 10_000_000
+    assert {r.refers_to for r in got.values() if r.record_type == "revisit"} == {2999}
+    assert sum(r.record_type == "revisit" for r in got.values()) == 1998
+
+
 def test_records():
     raw = warc.record(7, "http://x\ny", b"\r\n\r\nbody", 8, warc.base32(hashlib.sha1(b"\r\n\r\nbody").hexdigest()), None, "response")
     assert warc.read_record(gzip.decompress(gzip.compress(raw)))["payload"] == b"\r\n\r\nbody"
