@@ -4,21 +4,29 @@ A fingerprint has 64 bits; two documents link if theirs differ in at most ``budg
 ``budget + 1`` tries, each of which starts with another block of bits: linked fingerprints agree in one block at least,
 so in one of the tries the pair shares the node below the first block. From there pairs of nodes go down together and
 add up the differing bits of their paths; a pair beyond the budget is pruned with everything below it, and so is a pair
-whose leaves are in one component already. The nodes below the first blocks are dealt over the cluster. A node with more than ``NODE_LIMIT`` leaves is dealt further, as pairs of its own descendants within the budget.
+whose leaves are in one component already. The nodes below the first blocks are dealt over the cluster.
+
+A node with more than ``NODE_LIMIT`` leaves is dealt again: the bits below it are cut into ``budget + 1`` blocks, and each
+leaf goes to one trie for each of them, below the bits that the node's leaves share. Linked leaves agree in one of these
+blocks too. So a leaf has ``budget + 1`` copies for each time that its node is too large, and nodes shrink with the size
+of the input until a task holds one.
 
 Only distinct fingerprints enter; each task returns the links of a spanning forest, never all pairs of a group.
 
 Defined results: texts that are null or hold no word have fingerprint zero, which links like any other; rows with a
 null doc_id take part, but never name a component unless all of its ids are null; rows that repeat fall in one
-component.
+component; a text of any length is hashed whole, in memory of some hundred bytes a word; extra columns are carried by
+``deduplicate``, also where they are named as columns used here; without documents there are no rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -29,10 +37,8 @@ SEED = 42
 SHINGLE = 3
 BITS = 64
 BUDGET = 3
-#: A first block with more distinct fingerprints is dealt over many tasks.
+#: A node with more distinct fingerprints is dealt again by the bits below it.
 NODE_LIMIT = 100_000
-#: Bits by which such a node is split.
-SPLIT_BITS = 6
 #: Fingerprints that a task joins at a time, unless one node has more.
 TASK_LEAVES = 200_000
 #: Pairs of nodes that are expanded at a time.
@@ -94,7 +100,8 @@ class _Trie:
             prefix = keys >> np.uint64(BITS - depth) if depth < BITS else keys
             self.starts.append(np.flatnonzero(change | np.concatenate(([True], prefix[1:] != prefix[:-1]))))
         self.children = [np.append(np.searchsorted(lower, upper), len(lower)) for upper, lower in zip(self.starts, self.starts[1:], strict=False)]
-        self.bits = [((keys[s] >> np.uint64(BITS - d)) & np.uint64((1 << STEP) - 1)).astype(np.uint8) for s, d in zip(self.starts, depths, strict=True)]
+        steps = [0, *(b - a for a, b in zip(depths, depths[1:], strict=False))]
+        self.bits = [((keys[s] >> np.uint64(BITS - d)) & np.uint64((1 << w) - 1)).astype(np.uint8) if w else np.zeros(len(s), np.uint8) for s, d, w in zip(self.starts, depths, steps, strict=True)]
 
     def uniform(self, level: int, labels: np.ndarray) -> np.ndarray:
         """The component of a node whose leaves all have one, else -1 less the node."""
@@ -103,18 +110,17 @@ class _Trie:
         return np.where(low == high, low, -1 - np.arange(len(starts)))
 
 
-def self_join(group: np.ndarray, keys: np.ndarray, first: int, pairs: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None, budget: int = BUDGET) -> np.ndarray:
+def self_join(group: np.ndarray, keys: np.ndarray, first: int, budget: int = BUDGET) -> np.ndarray:
     """Component labels (indices of leaves) of keys sorted by (group, key), under links within ``budget``.
 
-    The first nodes are those of depth ``first`` in each group; ``pairs`` are pairs of them with their differing bits so
-    far, if not each with itself.
+    All keys of a group share their first ``first`` bits; its first node is joined with itself.
     """
     labels = np.arange(len(keys))
     if len(keys) < 2:
         return labels
-    trie = _Trie(group, keys, list(range(first, BITS + 1, STEP)))
+    trie = _Trie(group, keys, [*range(first, BITS, STEP), BITS])
     nodes = np.arange(len(trie.starts[0]))
-    stack = [(0, *(pairs or (nodes, nodes, np.zeros(len(nodes), np.uint8))))]
+    stack = [(0, nodes, nodes, np.zeros(len(nodes), np.uint8))]
     while stack:
         level, u, v, differ = stack.pop()
         if level == len(trie.depths) - 1:
@@ -145,54 +151,64 @@ def self_join(group: np.ndarray, keys: np.ndarray, first: int, pairs: tuple[np.n
     return labels
 
 
-def _tables(budget: int) -> list[tuple[int, int]]:
-    """First bit (from the top) and width of each block; widths are multiples of the step."""
-    n = budget + 1
-    cuts = [BITS * i // n // STEP * STEP for i in range(n)] + [BITS]
+def blocks(bits: int, budget: int) -> list[tuple[int, int]]:
+    """First bit and width of each of ``budget + 1`` blocks of so many bits."""
+    cuts = [bits * i // (budget + 1) for i in range(budget + 2)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def _forward(depth: int, at: int, width: int) -> Column:
+    """``key`` with the block ``at`` bits below ``depth`` moved up to ``depth``."""
+    key, below = F.col("key"), BITS - depth - at - width
+
+    def part(low: int, n: int, to: int) -> Column:
+        bits = key if n == BITS else F.shiftrightunsigned(key, low).bitwiseAND(F.lit((1 << n) - 1))
+        return F.shiftleft(bits, to) if n else F.lit(0)
+
+    out = part(BITS - depth - at - width, width, BITS - depth - width).bitwiseOR(part(below + width, at, below)).bitwiseOR(part(0, below, 0))
+    return out.bitwiseOR(part(BITS - depth, depth, BITS - depth)) if depth else out
+
+
+def _deal(rows: DataFrame, depth: int, budget: int) -> DataFrame:
+    """Each leaf (fp, path, key) of nodes at this depth once for each block below it: (fp, path, depth, key)."""
+    each = [F.struct((F.col("path") * (budget + 1) + i).alias("path"), F.lit(depth + w).alias("depth"), _forward(depth, a, w).alias("key")) for i, (a, w) in enumerate(blocks(BITS - depth, budget))]
+    return rows.select("fp", F.explode(F.array(*each)).alias("x")).select("fp", "x.*")
+
+
 def links(prints: DataFrame, budget: int = BUDGET, node_limit: int = NODE_LIMIT) -> DataFrame:
-    """Links ``(u, v)`` between the distinct fingerprints ``fp`` whose components are those of all links within the budget."""
-    tables = _tables(budget)
-    turned = F.explode(F.array(*[F.struct(F.lit(t).alias("trie"), (F.shiftleft("fp", a).bitwiseOR(F.shiftrightunsigned("fp", BITS - a)) if a else F.col("fp")).alias("key")) for t, (a, _) in enumerate(tables)]))
-    width = F.element_at(F.array(*[F.lit(w) for _, w in tables]), F.col("trie") + 1)
-    block = F.expr("shiftrightunsigned(key, cast(64 - width as int))")
-    placed = prints.select(turned.alias("x")).select("x.*").withColumn("width", width).withColumn("block", block)
-    full = placed.groupBy("trie", "block").agg(F.count("*").alias("n")).where("n > 1")
-    placed = placed.join(full, ["trie", "block"])
-    near = [[b for b in range(1 << SPLIT_BITS) if bin(a ^ b).count("1") <= budget] for a in range(1 << SPLIT_BITS)]
-    partners = F.array(*[F.array(*[F.lit(b) for b in row]) for row in near])
-    sub = F.expr(f"cast(shiftrightunsigned(key, cast(64 - width - {SPLIT_BITS} as int)) & {(1 << SPLIT_BITS) - 1} as int)")
-    split = (F.col("n") > node_limit) & (F.col("width") < BITS)
-    whole = placed.where(~split).select("trie", "block", F.lit(-1).alias("a"), F.lit(-1).alias("b"), "key")
-    parts = (
-        placed.where(split)
-        .withColumn("s", sub)
-        .select("trie", "block", "key", "s", F.explode(F.element_at(partners, F.col("s") + 1)).alias("p"))
-        .select("trie", "block", F.least("s", "p").alias("a"), F.greatest("s", "p").alias("b"), "key")
-    )
-    units = ["trie", "block", "a", "b"]
-    dealt = whole.unionByName(parts).repartition(*units).sortWithinPartitions(*units)
-    offsets, widths = [a for a, _ in tables], [w for _, w in tables]
+    """Links ``(u, v)`` between the distinct fingerprints ``fp`` whose components are those of all links within the budget.
+
+    A node is (path, prefix): the blocks chosen on the way down, as digits, and the bits that its leaves share.
+    """
+    prefix = F.expr(f"shiftrightunsigned(key, {BITS} - depth)")
+    level = _deal(prints.select("fp", F.lit(1).cast("long").alias("path"), F.col("fp").alias("key")), 0, budget)
+    depths, done = {w for _, w in blocks(BITS, budget)}, []
+    while True:
+        level = materialize(level.withColumn("prefix", prefix), "leaves")
+        dense = materialize(level.groupBy("path", "prefix").agg(F.count("*").alias("n"), F.first("depth").alias("d")).where((F.col("n") > node_limit) & (F.col("d") + budget < BITS)).select("path", "prefix"), "dense")
+        if dense.isEmpty():
+            done.append(level)
+            break
+        done.append(level.join(dense, ["path", "prefix"], "left_anti").select(*level.columns))
+        again = level.join(dense, ["path", "prefix"], "left_semi")
+        parts = [_deal(again.where(F.col("depth") == d), d, budget) for d in sorted(depths)]
+        level = reduce(DataFrame.unionByName, parts)
+        depths = {d + w for d in depths for _, w in blocks(BITS - d, budget) if d + w + budget < BITS} or {BITS}
+    leaves = reduce(DataFrame.unionByName, done).select("path", "prefix", "depth", "key", "fp")
+    dealt = leaves.repartition("path", "prefix").sortWithinPartitions("path", "prefix")
 
     def solve(cols: list[np.ndarray]):
-        trie, block, a, b, key = cols
+        path, prefix, depth, key, fp = cols
         key = key.view(np.uint64)
-        new = np.concatenate(([True], (trie[1:] != trie[:-1]) | (block[1:] != block[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-        group = np.cumsum(new) - 1
-        order = np.lexsort((key, group))
-        trie, a, b, key, group = trie[order], a[order], b[order], key[order], group[order]
-        for t in np.unique(trie):
-            own = trie == t
-            k, g, x, y = key[own], group[own], a[own], b[own]
-            first, pairs = widths[t], None
-            if (x != y).any():
-                first, pairs = _across(k, g, x, y, widths[t])
-            labels = self_join(g, k, first, pairs, budget)
-            back = (k << np.uint64(BITS - offsets[t])) | (k >> np.uint64(offsets[t])) if offsets[t] else k
-            moved = labels != np.arange(len(k))
-            yield pa.RecordBatch.from_arrays([pa.array(back[moved].view(np.int64)), pa.array(back[labels[moved]].view(np.int64))], ["u", "v"])
+        for d in np.unique(depth):
+            own = np.flatnonzero(depth == d)
+            new = np.concatenate(([True], (path[own][1:] != path[own][:-1]) | (prefix[own][1:] != prefix[own][:-1])))
+            group = np.cumsum(new) - 1
+            order = np.lexsort((key[own], group))
+            own, group = own[order], group[order]
+            labels = self_join(group, key[own], int(d), budget)
+            moved = labels != np.arange(len(own))
+            yield pa.RecordBatch.from_arrays([pa.array(fp[own[moved]]), pa.array(fp[own[labels[moved]]])], ["u", "v"])
 
     def rows(batches):
         held: list[list[np.ndarray]] = []
@@ -204,10 +220,7 @@ def links(prints: DataFrame, budget: int = BUDGET, node_limit: int = NODE_LIMIT)
             count += batch.num_rows
             if count >= TASK_LEAVES:
                 cols = [np.concatenate(x) for x in zip(*held, strict=True)]
-                same = np.ones(count, bool)
-                for c in cols[:4]:
-                    same &= c == c[-1]
-                cut = count - int(same.sum())  # rows are sorted by unit; the last one may go on
+                cut = count - int(((cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1])).sum())  # the last node may go on
                 if cut:
                     yield from solve([c[:cut] for c in cols])
                 held, count = [[c[cut:] for c in cols]], count - cut
@@ -217,41 +230,16 @@ def links(prints: DataFrame, budget: int = BUDGET, node_limit: int = NODE_LIMIT)
     return dealt.mapInArrow(rows, "u long, v long")
 
 
-def _across(keys: np.ndarray, group: np.ndarray, a: np.ndarray, b: np.ndarray, width: int) -> tuple[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """First depth and pairs of nodes for units that join two descendants of a first block (whole blocks: with itself).
+def components(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
+    """``(fp, root, component_id, first_id)`` for the fingerprints of ``prints(doc_id, fp)``, as a table.
 
-    Nodes are those of the depth ``width + STEP``, so that a descendant of SPLIT_BITS bits is a run of them.
+    Joins on a root or a fingerprint have tables on both sides, so that Spark splits one that is very common.
     """
-    depth = width + STEP
-    prefix = keys >> np.uint64(BITS - depth) if depth < BITS else keys
-    starts = np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]) | (prefix[1:] != prefix[:-1]))))
-    low = (prefix[starts] & np.uint64((1 << STEP) - 1)).astype(np.int64)
-    sub, of, sa, sb = low >> (STEP - SPLIT_BITS), group[starts], a[starts], b[starts]
-    us, vs = [], []
-    bounds = np.append(np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))), len(of))
-    for i, j in zip(bounds, bounds[1:], strict=False):
-        nodes = np.arange(i, j)
-        if sa[i] < 0 or sa[i] == sb[i]:
-            u, v = np.repeat(nodes, len(nodes)), np.tile(nodes, len(nodes))
-            u, v = u[u <= v], v[u <= v]
-        else:
-            left, right = nodes[sub[i:j] == sa[i]], nodes[sub[i:j] == sb[i]]
-            u, v = np.repeat(left, len(right)), np.tile(right, len(left))
-        us.append(u)
-        vs.append(v)
-    u, v = np.concatenate(us), np.concatenate(vs)
-    differ = _POPCOUNT[low[u] ^ low[v]]
-    near = differ <= BUDGET
-    return depth, (u[near], v[near], differ[near])
-
-
-def components(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
-    """``(fp, root, component_id, first_id)`` for the fingerprints of ``prints(doc_id, fp)``."""
     own = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprints")
     roots = connected_components(links(own, budget)).withColumnRenamed("node", "fp")
-    rooted = own.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rooted.join(named, "root").select("fp", "root", "component_id", "first_id")
+    rooted = materialize(own.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
+    named = materialize(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "named")
+    return materialize(rooted.join(named, "root").select("fp", "root", "component_id", "first_id"), "components")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -271,9 +259,9 @@ def deduplicate(documents: DataFrame) -> DataFrame:
     if repeated:  # ids that are null or repeat: one fingerprint of the component and one row of it are left
         kept = kept.groupBy(kept_id).agg(F.min(kept_fp).alias(kept_fp)).where(F.col(kept_id).isNotNull()).unionByName(kept.where(F.col(kept_id).isNull()).join(_one_of_each(found), F.col(kept_fp) == F.col("least_fp"), "left_semi"))
     out = prints.join(kept, (F.col(fp) == F.col(kept_fp)) & prints["doc_id"].eqNullSafe(F.col(kept_id)), "left_semi")
-    if repeated:
-        order = Window.partitionBy(fp, "doc_id").orderBy(F.xxhash64(*documents.columns))
-        out = out.withColumn(n, F.row_number().over(order)).where(F.col(n) == 1)
+    if repeated:  # one row of each; partial sums keep one per task
+        row = F.struct(*documents.columns)
+        out = out.groupBy(fp, F.col("doc_id").alias(kept_id)).agg(F.min_by(row, F.xxhash64(*documents.columns)).alias(n)).select(f"{n}.*")
     return out.select(*documents.columns)
 
 
