@@ -1,12 +1,14 @@
 """Quality rules: word statistics, then a calibrated n-gram classifier.
 
 Words are maximal runs of characters other than space and U+0009 to U+000D. Statistics cover whole texts. The
-classifier is a logistic regression on hashed relative frequencies of words, word pairs and byte n-grams. It is fitted
+classifier is a logistic regression on hashed relative frequencies of words, word pairs and character n-grams. It is fitted
 to a bounded sample of labelled rows (``SAMPLE_ROWS``), calibrated on a held-out fold of it, and scores Arrow batches.
 A linear model over relative frequencies is a mean of bucket weights, so scoring is one table lookup per n-gram.
 
 Defined results: a null or empty text has no words and so fails the base rules; rows that repeat are judged each;
-without labels of both classes the base rules decide alone; extra columns are carried by ``filter_quality``.
+without labels of both classes the base rules decide alone; extra columns are carried by ``filter_quality`` and play no
+part; a text of any length is judged whole, in one task and some fifty bytes of memory for each of its bytes; without
+documents there are no rows.
 """
 
 from __future__ import annotations
@@ -124,13 +126,15 @@ def families(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     last = parts[1:-1] - 1
     inside[last[(last >= 0) & (last < len(pairs))]] = False
     yield _bucket(pairs[inside]), np.searchsorted(np.flatnonzero(inside), parts)
+    chars = np.append(np.flatnonzero((data & 0xC0) != 0x80), n)  # where each code point begins
+    bounds, m = np.searchsorted(chars, offsets), len(chars) - 1
     for size in CHAR_GRAMS:
-        grams = (prefix[size:] - prefix[:-size]) * inverse[: max(n - size + 1, 0)] if n >= size else np.zeros(0, np.uint64)
+        grams = (prefix[chars[size:]] - prefix[chars[:-size]]) * inverse[chars[: m - size + 1]] if m >= size else np.zeros(0, np.uint64)
         inside = np.ones(len(grams), bool)
         for back in range(1, size):
-            cut = offsets[1:-1] - back
+            cut = bounds[1:-1] - back
             inside[cut[(cut >= 0) & (cut < len(grams))]] = False
-        yield _bucket(grams[inside]), np.searchsorted(np.flatnonzero(inside), offsets)
+        yield _bucket(grams[inside]), np.searchsorted(np.flatnonzero(inside), bounds)
 
 
 N_FAMILIES = 2 + len(CHAR_GRAMS)

@@ -58,6 +58,58 @@ def test_quality_model(spark, awkward, nothing):
     assert quality.judge(awkward, None).where("kept = base_failed").count() == 0
 
 
+def plain_hash(raw):
+    return sum((b + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, b in enumerate(raw)) % (1 << 64)
+
+
+def plain_mix(x):
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = ((x ^ (x >> 33)) * factor) % (1 << 64)
+    return x ^ (x >> 33)
+
+
+def plain_features(text):
+    """Relative frequencies by (family, bucket): words, word pairs, and n-grams of code points."""
+    words = [plain_hash(w.encode()) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+    own = [words, [(a * 31 + plain_mix(b)) % (1 << 64) for a, b in zip(words, words[1:], strict=False)]]
+    own += [[plain_hash(text[i : i + k].encode()) for i in range(len(text or "") - k + 1)] for k in quality.CHAR_GRAMS]
+    out = Counter()
+    for family, grams in enumerate(own):
+        for g in grams:
+            out[family * quality.BUCKETS + (plain_mix(g) >> 52)] += 1 / len(grams)
+    return out
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab \n\té漢\U0001f600", max_size=30)), min_size=1, max_size=5))
+def test_features_are_relative_frequencies(texts):
+    assert quality.BUCKETS == 1 << 12
+    for text, (at, value) in zip(texts, quality.features(pa.array(texts, pa.string())), strict=True):
+        want = plain_features(text)
+        assert set(at.tolist()) == set(want) and np.allclose([want[i] for i in at.tolist()], value)
+
+
+def test_verdicts_are_those_of_the_plain_model(spark, awkward):
+    documents, labels = labelled(spark)
+    model = quality.train(documents, labels)
+    rows = [*documents.collect(), *awkward.where("length(text) < 10000 or text is null").select("doc_id", "text").collect()]
+    got = Counter((r.doc_id, r.kept) for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string"), model).collect())
+    want = Counter()
+    for i, text in rows:
+        logit = model.bias + sum(model.weights[k] * v for k, v in plain_features(text).items())
+        want[i, not base(text)[5] and 1 / (1 + np.exp(-(model.slope * logit + model.shift))) >= quality.KEEP_AT] += 1
+    assert got == want
+
+
+def test_the_fit_minimizes_the_penalized_loss():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(200, 6))
+    y = (x @ rng.normal(size=6) + rng.normal(size=200) > 0).astype(float)
+    w, b = quality._logistic(x, y, 1e-2, 3000)
+    gap = 1 / (1 + np.exp(-(x @ w + b))) - y
+    assert np.abs(x.T @ gap / len(y) + 1e-2 * w).max() < 1e-6 and abs(gap.mean()) < 1e-6
+
+
 def test_repeated_rows_leave_the_other_labelled_documents_in_the_sample(spark, monkeypatch):
     documents, labels = labelled(spark)
     often = documents.crossJoin(spark.range(50).select())
