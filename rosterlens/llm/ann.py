@@ -1,22 +1,26 @@
 """Approximate nearest neighbours with learned partitions.
 
-Fit, on a bounded sample (``SAMPLE_VECTORS`` distinct vectors, picked by a hash of their ids): build the sample's
-neighbour graph, cut it into ``2 ** LEVELS`` partitions of equal size with few edges between them (recursive bisection along
-the principal direction, refined by swapping pairs of vertices), and train a small network that gives the partitions'
-probabilities for a vector; a vertex's targets are its own and its neighbours' partitions.
+Fit, on a bounded sample (at most ``SAMPLE_VECTORS`` vectors, picked by a hash of their ids; the distinct ones of moderate
+size count): build the sample's neighbour graph, cut it into partitions of equal size with few edges between them (recursive
+bisection along the principal direction, refined by swapping pairs of vertices), and train a small network that gives
+the partitions' probabilities for a vector; a vertex's targets are its own and its neighbours' partitions. There is a
+partition for some ``ROWS_PER_PARTITION`` rows, and ``2 ** LEVELS`` to ``2 ** MOST_LEVELS`` of them.
 
 Index: every vector goes to its most probable partition, in packed blocks. Search: a query goes to its most probable
-partitions, as many as reach the probability ``COVERAGE`` together; every block there is ranked by exact distance in double precision. A query that finds fewer than ``k`` there
-searches all partitions. Blocks, not partitions, are the unit of work, and are salted, so a partition with any share of
-the rows spreads over ``SALTS`` tasks; each block returns ``k`` rows a query at most.
+partitions, as many as reach the probability ``COVERAGE`` together; every block there is ranked by exact distance in
+double precision. A query that finds fewer than ``k`` there searches all partitions. Blocks, not partitions, are the unit
+of work: a partition's blocks are dealt to a task for each ``BLOCKS_PER_TASK`` of them, so a partition with any share
+of the rows is split, and only its queries are copied; each block returns ``k`` rows a query at most.
 
 Defined results: vectors that are null, zero, of another dimension than most (the smaller of equally frequent ones) or
-that hold null or non-finite components take no part, nor do null ids; a query never finds its own id; among rows that
-share an id the nearest counts, and as a query the least vector; ties go to the smaller id.
+that hold null or non-finite components take no part, nor do null ids; finite components of any size do (a distance
+beyond the doubles is infinite); a query never finds its own id; among rows that share an id the nearest counts, and as a
+query the least vector; ties go to the smaller id; extra columns play no part; without vectors there are no rows.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,9 +31,12 @@ from pyspark.sql import functions as F
 
 from .common import materialize, sample_order
 
-SAMPLE_VECTORS = 4096
+SAMPLE_VECTORS = 16384
+#: Sampled vectors for each partition, but SAMPLE_LEAST at least.
+SAMPLE_PER_PARTITION, SAMPLE_LEAST = 128, 4096
 NEIGHBOURS = 10
-LEVELS = 4
+ROWS_PER_PARTITION = 4096
+LEVELS, MOST_LEVELS = 4, 7
 #: A query goes to its most probable partitions until their probabilities reach this sum.
 COVERAGE = 0.98
 HIDDEN = 128
@@ -37,7 +44,9 @@ HIDDEN = 128
 LEAST_SAMPLE = 512
 BLOCK = 2048
 QUERY_BLOCK = 256
-SALTS = 8
+BLOCKS_PER_TASK = 4
+#: Components beyond this size are scaled before they are squared, and their vectors teach the network nothing.
+MODERATE = 1e100
 K = 10
 QUERY_EVERY = 100
 
@@ -114,7 +123,8 @@ class Router:
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         a, b, c, d = self.layers
-        return np.maximum((x - self.mean) / self.scale @ a + b, 0) @ c + d
+        z = np.clip(np.clip(x, -MODERATE, MODERATE) - self.mean, -1e6 * self.scale, 1e6 * self.scale) / self.scale
+        return np.maximum(z @ a + b, 0) @ c + d
 
     def probable(self, x: np.ndarray, coverage: float) -> np.ndarray:
         """For each row and partition, whether it is among the fewest that reach the coverage together (one at least)."""
@@ -162,7 +172,8 @@ def train_router(x: np.ndarray, part: np.ndarray, graph: np.ndarray, rounds: int
 
 def fit(sample: np.ndarray, levels: int = LEVELS) -> Router | None:
     """None for a sample too small to cut."""
-    sample = np.unique(sample, axis=0)
+    size = np.abs(sample).max(axis=1)
+    sample = np.unique(sample[(size < MODERATE) & (size > 1 / MODERATE)], axis=0)
     if len(sample) < LEAST_SAMPLE:
         return None
     graph = neighbour_graph(sample, NEIGHBOURS)
@@ -204,29 +215,47 @@ def _blocks(vectors: DataFrame, router: Router | None, coverage: float, size: in
     return vectors.select("vec_id", "embedding").mapInArrow(rows, "part int, number int, ids binary, x binary")
 
 
+def _distances(x: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances; where squares leave the doubles' range, of scaled differences."""
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        gap = x - query
+        out = np.sqrt((gap**2).sum(axis=1))
+        size = np.abs(gap).max(axis=1)
+        odd = np.isfinite(size) & (size > 0) & ((size > MODERATE) | (size < 1 / MODERATE))
+        if odd.any():
+            out[odd] = size[odd] * np.sqrt(((gap[odd] / size[odd, None]) ** 2).sum(axis=1))
+    return out
+
+
 def nearest_in(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Query ids, ids and distances of the k nearest in a block; ties to the smaller id.
 
-    A product of matrices finds the vectors that may be among them; these are measured exactly.
+    A product of matrices, of vectors scaled to at most 1, finds the vectors that may be among them; these are measured exactly.
     """
-    norms, own = (x**2).sum(axis=1), (queries**2).sum(axis=1)
-    rough = norms + own[:, None] - 2 * queries @ x.T
-    rough[query_ids[:, None] == ids] = np.inf
-    slack = 1e-9 * (norms.max() + own)
+    scale = float(2.0 ** np.frexp(max(np.abs(x).max(), np.abs(queries).max()))[1] / 2)
+    near, asked = x / scale, queries / scale
+    norms, own = (near**2).sum(axis=1), (asked**2).sum(axis=1)
+    rough = norms + own[:, None] - 2 * asked @ near.T
+    other = query_ids[:, None] != ids
+    rough[~other] = np.inf
+    slack = 1e-9 * max(norms.max(), own.max())
     out: list[tuple] = []
     m = min(k, len(ids))
     bound = np.partition(rough, m - 1, axis=1)[:, m - 1] + slack
     for i in range(len(queries)):
-        at = np.flatnonzero((rough[i] <= bound[i]) & np.isfinite(rough[i]))
-        exact = np.sqrt(((x[at] - queries[i]) ** 2).sum(axis=1))
+        at = np.flatnonzero((rough[i] <= bound[i]) & other[i])
+        exact = _distances(x[at], queries[i])
         order = np.lexsort((ids[at], exact))[:k]
         out.append((np.full(len(order), query_ids[i]), ids[at][order], exact[order]))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
 def _search(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    salted = candidates.withColumn("salt", F.col("number") % SALTS)
-    asked = queries.select("part", F.col("ids").alias("query_ids"), F.col("x").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    sizes = candidates.groupBy("part").count().collect()  # a row for each partition, 2 ** MOST_LEVELS at most
+    tasks = F.create_map(*[F.lit(x) for r in sizes for x in (r["part"], -(-r["count"] // BLOCKS_PER_TASK))]) if sizes else F.create_map().cast("map<int,long>")
+    salted = candidates.withColumn("salt", F.pmod(F.xxhash64("number", "ids"), tasks[F.col("part")]))
+    asked = queries.withColumn("n", tasks[F.col("part")]).where("n is not null")  # a partition without rows has nothing to find
+    asked = asked.select("part", F.col("ids").alias("query_ids"), F.col("x").alias("queries"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("salt"))
     pairs = salted.join(asked, ["part", "salt"]).select("ids", "x", "query_ids", "queries")
 
     def rows(batches):
@@ -241,11 +270,17 @@ def _search(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def levels_for(rows: int) -> int:
+    return min(MOST_LEVELS, max(LEVELS, math.ceil(math.log2(max(rows / ROWS_PER_PARTITION, 1)))))
+
+
 def nearest(vectors: DataFrame, every: int = QUERY_EVERY, k: int = K, coverage: float = COVERAGE, sample_vectors: int = SAMPLE_VECTORS) -> DataFrame:
     """For each vector whose id is divisible by ``every``: query_id, rank, vec_id, score of its ``k`` nearest found."""
     own = usable(vectors)
-    sample = own.orderBy(sample_order("vec_id"), "vec_id", "embedding").limit(sample_vectors).select("embedding").toArrow()["embedding"]
-    router = fit(_matrix(sample.combine_chunks())) if len(sample) else None
+    levels = levels_for(own.count())
+    size = min(sample_vectors, max(SAMPLE_LEAST, SAMPLE_PER_PARTITION << levels))
+    sample = own.orderBy(sample_order("vec_id"), "vec_id", "embedding").limit(size).select("embedding").toArrow()["embedding"]
+    router = fit(_matrix(sample.combine_chunks()), levels) if len(sample) else None
     queries = own.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     candidates = materialize(_blocks(own, router, 0.0, BLOCK), "vectors")
     found = materialize(_search(candidates, _blocks(queries, router, coverage, QUERY_BLOCK), k), "nearest")

@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import math
 
 import numpy as np
 import oracle
@@ -141,6 +142,52 @@ def test_learned_partitions_find_nine_in_ten(spark):
     assert sorted(r.vec_id for r in got if r.query_id == 1000) == [0, *range(1001, 1010)]
 
 
+def test_ties_at_the_last_rank_go_to_the_smaller_id(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 64)  # several blocks and tasks of a partition
+    monkeypatch.setattr(ann, "BLOCKS_PER_TASK", 2)
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(2000, 8))
+    x[500:540] = x[500] + np.eye(8)[0] * 1e-3  # forty at one distance of the query 500
+    x[500] -= np.eye(8)[0] * 1e-3
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = sorted((r.rank, r.vec_id) for r in ann.nearest(frame, every=500).collect() if r.query_id == 500)
+    assert got == [(k + 1, 501 + k) for k in range(10)]
+
+
+@pytest.mark.parametrize("size", [1e200, 1e-200, 1e300])
+def test_sizes_whose_squares_leave_the_doubles(spark, size):
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(40, 4))
+    x[20:] *= size
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in ann.nearest(frame, every=10).collect()}
+    assert len(got) == 40
+    for q in range(0, 40, 10):
+        d = [(math.hypot(*(x[i] - x[q])), i) for i in range(40) if i != q]
+        for k, (score, i) in enumerate(sorted(d)[:10]):
+            assert got[q, k + 1][1] == pytest.approx(score, rel=1e-12)
+            assert got[q, k + 1][0] == i or size < 1  # the tiny ones are at one distance of the others
+
+
+@pytest.mark.parametrize(("rows", "most"), [(4000, 0.5), (40000, 0.35)])
+def test_clustered_vectors_need_few_partitions(rows, most):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(100, 16))[rng.integers(100, size=rows)] * 3 + rng.normal(size=(rows, 16)) * 0.5
+    router = ann.fit(x[: ann.SAMPLE_LEAST], ann.levels_for(rows))
+    own, asked = router.probable(x, 0.0).argmax(axis=1), router.probable(x[:200], ann.COVERAGE)
+    found, read = [], []
+    for i in range(200):
+        d = ((x - x[i]) ** 2).sum(axis=1)
+        d[i] = np.inf
+        found.append(asked[i][own[np.argsort(d)[:10]]].mean())
+        read.append(asked[i][own].mean())
+    assert np.mean(found) >= 0.95 and np.mean(read) < most
+
+
+def test_partitions_follow_the_rows():
+    assert [ann.levels_for(n) for n in (0, 1, 10**5, 10**6, 10**12)] == [4, 4, 5, 7, 7]
+
+
 def test_partitions_are_balanced():
     x = np.random.default_rng(7).normal(size=(1024, 8))
     graph = ann.neighbour_graph(x, 10)
