@@ -6,11 +6,16 @@ its tokens) and so has a sequence's room. Pieces go largest first to the open se
 and, with the piece placed, the least weighted residual norm (or the largest weighted dot product of piece and
 residual). Full pieces have sequences of their own.
 
+At the default room a sequence that holds its tokens holds its documents and its attention too, as the contract allows no
+sequence more than tokens demand; so the three residuals choose the sequence, and only that of tokens can refuse one.
+Tighter capacities bind and are kept.
+
 Pieces are dealt round robin into shares of ``SHARE`` pieces, each of which one task packs; the deal needs no key, so no
 key can be hot, and each share leaves about one sequence part empty.
 
 Defined results: a null text is empty, its document is the end id alone; rows that repeat, or share an id or have none,
-are packed each; no documents make no sequences.
+are packed each; a text of any length is encoded whole, in memory of some tens of bytes a byte; extra columns play no
+part; no documents make no sequences.
 """
 
 from __future__ import annotations
@@ -36,12 +41,12 @@ SHARE = 40_000
 
 @dataclass(frozen=True)
 class Room:
-    """What a sequence holds, and the dimensions' weights. By default only tokens bind, and decide."""
+    """What a sequence holds, and the dimensions' weights in the choice of a sequence."""
 
     tokens: int = 2048
     documents: int = 2048
     attention: int = 2048 * 2048
-    weights: tuple[float, float, float] = (1.0, 1e-6, 1e-6)
+    weights: tuple[float, float, float] = (1.0, 1.0, 1.0)
     rule: str = "norm"  # or "dot"
 
     def sizes(self, lengths: np.ndarray) -> np.ndarray:
@@ -91,15 +96,15 @@ def token_pieces(documents: DataFrame, path: str, tokens: int) -> DataFrame:
 
     def rows(batches):
         vocabulary, added = tokenizer_file(path)
-        encoding = tiktoken.Encoding("pieces", pat_str=r".+", mergeable_ranks=vocabulary.ranks, special_tokens={})
-        encode = encoding._core_bpe.encode_single_piece  # a piece's merges alone; the pieces are known already
+        # a piece's merges alone; the pieces are known already
+        encode = tiktoken.Encoding("pieces", pat_str=r"(?s).+", mergeable_ranks=vocabulary.ranks, special_tokens={}).encode_ordinary
         remembered: dict[bytes, bytes] = {}
         whole = None
 
         def encode_pieces(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             each = list(map(remembered.get, found))
             for i in [i for i, ids in enumerate(each) if ids is None]:
-                each[i] = array("I", encode(found[i])).tobytes()
+                each[i] = array("I", encode(found[i].decode())).tobytes()
                 if len(remembered) < REMEMBERED:
                     remembered[found[i]] = each[i]
             ends = np.concatenate(([0], np.cumsum(np.fromiter(map(len, each), np.int64, len(each)) // 4)))

@@ -263,6 +263,46 @@ def test_every_capacity_holds(lengths, rule):
         assert offset[sequence == s][order].tolist() == [0, *np.cumsum(own[order])[:-1].tolist()]
 
 
+def plain_best_fit(lengths, room):
+    """Largest first, to the open sequence of least weighted residual norm (or largest dot product); the earliest of equal ones."""
+    sizes = [(n / room.tokens, 1 / room.documents, n * n / room.attention) for n in lengths]
+    residuals, sequence = [], {}
+    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+        best = None
+        for s, left in enumerate(residuals):
+            after = [a - b for a, b in zip(left, sizes[i], strict=True)]
+            if min(after) >= -1e-12:
+                if room.rule == "norm":
+                    value = sum(w * a * a for w, a in zip(room.weights, after, strict=True))
+                else:
+                    value = -sum(w * a * b for w, a, b in zip(room.weights, left, sizes[i], strict=True))
+                if best is None or value < best[0] - 1e-9:
+                    best = (value, s)
+        if best is None:
+            residuals.append([1.0, 1.0, 1.0])
+            best = (0, len(residuals) - 1)
+        sequence[i] = best[1]
+        residuals[best[1]] = [a - b for a, b in zip(residuals[best[1]], sizes[i], strict=True)]
+    return len(residuals), residuals
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 128), min_size=1, max_size=60), st.sampled_from(["norm", "dot"]), st.sampled_from([(128, 128 * 128), (4, 128 * 128), (128, 5000)]))
+def test_packing_equals_a_plain_best_fit(lengths, rule, capacity):
+    room = packing.Room(tokens=128, documents=capacity[0], attention=capacity[1], weights=(1, 1, 1), rule=rule)
+    lengths = [n for n in lengths if n * n <= capacity[1]] or [1]
+    _, _, count = packing.place(np.array(lengths), room)
+    assert abs(count - plain_best_fit(lengths, room)[0]) <= 1  # equal values may be taken in another order
+
+
+def test_all_dimensions_choose_and_cost_no_sequence():
+    lengths = np.random.default_rng(3).integers(1, 2049, 4000)
+    alone, _, least = packing.place(lengths, packing.Room(weights=(1, 0, 0)))
+    own, _, count = packing.place(lengths, packing.Room())
+    assert count <= least and count <= 1.01 * lengths.sum() / 2048 + 1
+    assert (own != alone).mean() > 0.01
+
+
 def test_best_fit_is_close_to_the_bound():
     lengths = np.random.default_rng(1).integers(1, 1500, 3000)
     _, _, count = packing.place(lengths, packing.Room())
