@@ -6,29 +6,38 @@ same document. Strings never cross documents and are judged on the input.
 Every string of ``length`` bytes belongs to its anchor, the leftmost of its ``GRAM``-byte grams with the least hash, so
 equal strings have equal anchors. Strings that follow each other share an anchor; together they make a segment.
 
-1. Each task finds its texts' segments; of equal ones only the earliest is sent on (the others repeat it).
-2. Segments meet by their anchor's hash. Of equal segments all but the earliest repeat. Where an anchor has several
-   segments, their texts are fetched.
-3. Texts meet by the anchor and enough of its context to tell common phrases apart. Over each bucket's texts a
-   Burrows-Wheeler transform is built; breadth-first backward extension of its intervals finds common prefixes by
-   increasing length and stops at ``length``. The suffixes that no boundary below that length parts repeat the earliest
-   of them.
+1. Each task finds its texts' segments. Anchors meet by their hashes; one that occurs once repeats nothing. Hashes only
+   bring together what may be equal: what is equal is decided on bytes.
+2. The segments of all other anchors are fetched, each as its bytes and its place. Equal ones are one text with several
+   places, of which the earliest counts; a task sends a text once, and later places of it without the bytes.
+3. The texts of an anchor meet in one task. Over a share of texts a Burrows-Wheeler transform is built; breadth-first
+   backward extension of its intervals finds common prefixes by increasing length and stops at ``length``. The suffixes
+   that no boundary below that length parts are equal strings, and repeat the earliest place of them; so do all later
+   places of one text.
 4. Each document's repeated strings make its removed spans.
 
+An anchor with more than ``KEY_BYTES`` of different texts (a common phrase) is dealt again: its strings are cut in halves
+by how far before the anchor they start. All strings of a half share some bytes beside the anchor, which become part of
+its key. Halves that are still too large are cut again, at last to single strings, of which a key has one.
+
 What crosses the network is a few bytes an anchor (one for about ``(length - GRAM + 2) / 2`` bytes of text), the texts of
-anchors whose segments differ, and the documents themselves once or twice.
+anchors that repeat (some ``2 * length`` bytes a segment, less what a task holds twice), and the documents themselves twice.
 
 Defined results: a null text is empty; a null doc_id comes before all others; documents that share a doc_id are ordered
 by a hash of their texts; rows that repeat both are one document and all get its result; texts below ``length`` bytes
-lose nothing.
+lose nothing; texts beyond ``WINDOW`` bytes are read in overlapping windows, so a task's arrays stay small beside the
+text itself; extra columns are carried by ``remove_repeats``, also where they are named as columns used here; without
+documents there are no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -39,16 +48,20 @@ LENGTH = 100
 GRAM = 24
 #: Buckets for each shuffle partition.
 BUCKETS_PER_PARTITION = 4
-#: Segments that a task holds before it sends them on.
-HELD = 400_000
+#: Segments that a task holds before it sends them on, and texts.
+HELD, HELD_TEXTS = 400_000, 100_000
+#: Bytes of a text that are searched for anchors at a time.
+WINDOW = 1 << 22
 #: Places between the stored ranks of a transform, and intervals extended at a time.
 SAMPLED, WIDE = 32, 8192
 #: Bytes of text that one Burrows-Wheeler transform takes at a time (an anchor's texts stay together).
 TRANSFORM_BYTES = 1 << 17
+#: Bytes of different texts beyond which an anchor is dealt again.
+KEY_BYTES = 1 << 19
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
-_SEGMENT = np.dtype([("anchor", "<u8"), ("hash", "<u8"), ("doc", "<i8"), ("twin", "<i8"), ("at", "<i4"), ("n", "<i4")])
+_SEGMENT = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("twin", "<i8"), ("at", "<i4"), ("n", "<i2"), ("off", "<i2")])
 
 
 class _Hasher:
@@ -84,113 +97,115 @@ def _leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, hasher: _Hasher, length: int) -> tuple[np.ndarray, ...]:
-    """Of all texts: anchor hash, segment hash, text's number, first string's place in the text, strings, anchor's place in the data."""
+    """Of all texts: anchor hash, text's number, first string's place in the text, strings, bytes from there to the anchor."""
     width = length - GRAM + 1
     empty = np.zeros(0, np.int64)
     if len(data) < length:
-        return empty.astype(np.uint64), empty.astype(np.uint64), empty, empty, empty, empty
+        return empty.astype(np.uint64), empty, empty, empty, empty
     hasher.read(data)
     grams = mix64(hasher.of(slice(0, len(data) - GRAM + 1), slice(GRAM, None)))
     anchors = _leftmost_least(grams, width)
     text = np.searchsorted(offsets, np.arange(len(anchors)), side="right") - 1
     inside = np.flatnonzero(np.arange(len(anchors)) + length <= offsets[text + 1])
     if not len(inside):
-        return empty.astype(np.uint64), empty.astype(np.uint64), empty, empty, empty, empty
+        return empty.astype(np.uint64), empty, empty, empty, empty
     own, of = anchors[inside], text[inside]
     new = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (of[1:] != of[:-1]))))
     first, count = inside[new], np.diff(np.append(new, len(own)))
-    anchor = own[new]
-    digest = mix64(hasher.of(first, first + count - 1 + length) ^ ((anchor - first).astype(np.uint64) << np.uint64(56)) ^ count.astype(np.uint64))
-    return grams[anchor], digest, of[new], first - offsets[of[new]], count, anchor
-
-
-def _sorted(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """By anchor, segment and place; and which rows begin a new segment."""
-    found = found[np.lexsort((found["at"], found["twin"], found["doc"], found["hash"], found["anchor"]))]
-    new = np.ones(len(found), bool)
-    new[1:] = (found["anchor"][1:] != found["anchor"][:-1]) | (found["hash"][1:] != found["hash"][:-1])
-    return found, new
+    return grams[own[new]], of[new], first - offsets[of[new]], count, own[new] - first
 
 
-def _repeats(found: np.ndarray, new: np.ndarray) -> np.ndarray:
-    """Rows that are not their segment's earliest place (nor the same place again)."""
-    head = found[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(found) else found
-    return (found["doc"] != head["doc"]) | (found["twin"] != head["twin"]) | (found["at"] != head["at"])
+def windows(data: np.ndarray, offsets: np.ndarray, length: int):
+    """The texts of a slice, and the places where their parts begin: one long text in parts that share ``length - 1`` bytes."""
+    if len(offsets) > 2 or len(data) <= WINDOW + length:
+        yield data, offsets, 0
+        return
+    for start in range(0, len(data) - length + 1, WINDOW):
+        part = data[start : start + WINDOW + length - 1]
+        yield part, np.array([0, len(part)]), start
 
 
 _NO_DOC = np.iinfo(np.int64).min
-_SPANS = "doc long, twin long, at int, n int, anchor long"
+_SPANS = "doc long, twin long, at int, n int, off int"
 
 
-def _spans(rows: np.ndarray, asked: bool) -> pa.RecordBatch:
-    anchor = pa.array(rows["anchor"].view(np.int64), mask=None if asked else np.ones(len(rows), bool))
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows["doc"])), pa.array(np.ascontiguousarray(rows["twin"])), pa.array(np.ascontiguousarray(rows["at"])), pa.array(np.ascontiguousarray(rows["n"])), anchor], ["doc", "twin", "at", "n", "anchor"])
-
+def _spans(rows: np.ndarray) -> pa.RecordBatch:
+    kinds = (("doc", pa.int64()), ("twin", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("off", pa.int32()))
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[c]).astype(t.to_pandas_dtype())) for c, t in kinds], [c for c, _ in kinds])
 
 
 def _meet(keyed: DataFrame, length: int) -> DataFrame:
-    """Segments that repeat an earlier one (anchor null), and those whose texts are asked for."""
+    """The segments whose anchor occurs more than once."""
     spark = keyed.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = partitions * BUCKETS_PER_PARTITION
+    alone, met, anchor_only = 0, 1, 2
 
     def send(batches):
         hasher = _Hasher()
         held: list[np.ndarray] = []
 
         def flush():
-            found, new = _sorted(np.concatenate(held))
-            again = _repeats(found, new)
-            bucket = (found["anchor"] % np.uint64(buckets)).astype(np.int32)
-            for kind, part in ((0, new), (1, again)):
-                rows, of = found[part], bucket[part]
-                order = np.argsort(of, kind="stable")
-                rows, of = rows[order], of[order]
-                cuts = np.append(np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))), len(of)) if len(of) else [0]
+            found = np.concatenate(held)
+            held.clear()
+            if not len(found):
+                return
+            found = found[np.argsort(found["anchor"], kind="stable")]
+            new = np.flatnonzero(np.concatenate(([True], found["anchor"][1:] != found["anchor"][:-1])))
+            several = np.repeat(np.diff(np.append(new, len(found))) > 1, np.diff(np.append(new, len(found))))
+            heads = found[new[several[new]]]
+            for kind, rows in ((alone, found[~several]), (met, found[several]), (anchor_only, heads)):
+                bucket = (rows["anchor"] % np.uint64(buckets)).astype(np.int32)
+                order = np.argsort(bucket, kind="stable")
+                rows, bucket = rows[order], bucket[order]
+                cuts = np.append(np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))), len(bucket)) if len(bucket) else [0]
+                data = rows["anchor"] if kind == anchor_only else rows
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(of[i]) for i in cuts[:-1]], pa.int32()), pa.array([kind] * (len(cuts) - 1), pa.int32()), pa.array([rows[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary())],
+                    [pa.array([int(bucket[i]) for i in cuts[:-1]], pa.int32()), pa.array([kind] * (len(cuts) - 1), pa.int32()), pa.array([data[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary())],
                     ["bucket", "kind", "rows"],
                 )
-            held.clear()
 
         for batch in slices(batches):
-            data, offsets = text_bytes(batch.column("text"))
-            anchor, digest, of, at, n, _ = segments(data, offsets, hasher, length)
-            rows = np.empty(len(anchor), _SEGMENT)
-            for name, values in (("anchor", anchor), ("hash", digest), ("doc", batch.column("doc").to_numpy()[of]), ("twin", batch.column("twin").to_numpy()[of]), ("at", at), ("n", n)):
-                rows[name] = values
-            held.append(rows)
-            if sum(map(len, held)) >= HELD:
-                yield from flush()
+            docs, twins = batch.column("doc").to_numpy(), batch.column("twin").to_numpy()
+            for data, offsets, start in windows(*text_bytes(batch.column("text")), length):
+                anchor, of, at, n, off = segments(data, offsets, hasher, length)
+                rows = np.empty(len(anchor), _SEGMENT)
+                for name, values in (("anchor", anchor), ("doc", docs[of]), ("twin", twins[of]), ("at", at + start), ("n", n), ("off", off)):
+                    rows[name] = values
+                held.append(rows)
+                if sum(map(len, held)) >= HELD:
+                    yield from flush()
         if held:
             yield from flush()
 
     def settle(batches):
-        bucket, held = None, []
+        bucket = None
+        single: list[np.ndarray] = []
+        known: list[np.ndarray] = []
 
         def close():
-            found, new = _sorted(np.concatenate(held))
-            again = _repeats(found, new)
-            yield _spans(found[again], False)
-            heads = found[new]
-            if len(heads):
-                change = np.concatenate(([True], heads["anchor"][1:] != heads["anchor"][:-1]))
-                several = np.diff(np.append(np.flatnonzero(change), len(heads)))[np.cumsum(change) - 1] > 1
-                yield _spans(heads[several], True)
-            held.clear()
+            rows = np.concatenate(single) if single else np.empty(0, _SEGMENT)
+            rows = rows[np.argsort(rows["anchor"], kind="stable")]
+            if len(rows):
+                new = np.concatenate(([True], rows["anchor"][1:] != rows["anchor"][:-1]))
+                size = np.diff(np.append(np.flatnonzero(new), len(rows)))[np.cumsum(new) - 1]
+                elsewhere = np.isin(rows["anchor"], np.concatenate(known)) if known else False
+                yield _spans(rows[(size > 1) | elsewhere])
+            single.clear()
+            known.clear()
 
         for batch in batches:
             for b, kind, rows in zip(batch.column("bucket").to_pylist(), batch.column("kind").to_pylist(), batch.column("rows"), strict=True):
-                part = np.frombuffer(rows.as_buffer(), _SEGMENT)
-                if kind:
-                    yield _spans(part, False)
-                    continue
-                if b != bucket and held:
+                if b != bucket:
                     yield from close()
-                bucket = b
-                held.append(part.copy())
-        if held:
-            yield from close()
+                    bucket = b
+                if kind == met:
+                    yield _spans(np.frombuffer(rows.as_buffer(), _SEGMENT))
+                elif kind == alone:
+                    single.append(np.frombuffer(rows.as_buffer(), _SEGMENT).copy())
+                else:
+                    known.append(np.frombuffer(rows.as_buffer(), "<u8").copy())
+        yield from close()
 
     sent = keyed.mapInArrow(send, "bucket int, kind int, rows binary").repartition(partitions, "bucket").sortWithinPartitions("bucket")
     return sent.mapInArrow(settle, _SPANS)
@@ -292,114 +307,166 @@ def repeated_in(pieces: list[bytes], places: np.ndarray, length: int) -> list[np
     first = np.concatenate(([True], group[by][1:] != group[by][:-1]))
     head = by[np.flatnonzero(first)[np.cumsum(first) - 1]]
     later = by[(doc[by] != doc[head]) | (twin[by] != twin[head]) | (at[by] != at[head])]
-    out: list[np.ndarray] = []
     marked = np.zeros(len(data), bool)
     marked[order[later]] = True
-    for i in range(len(pieces)):
-        out.append(np.flatnonzero(marked[heads[i] : heads[i] + sizes[i]]))
-    return out
+    return [np.flatnonzero(marked[heads[i] : heads[i] + sizes[i]]) for i in range(len(pieces))]
+
+
+#: A text of ``n`` strings that start ``low`` to ``high`` bytes before the anchor, which is ``off`` bytes in; without bytes: a
+#: later place of a text that is sent elsewhere. Results have no key.
+_PIECES = "key long, low int, high int, off int, doc long, twin long, at int, n int, piece binary"
+_PIECE_KINDS = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+_PIECE_NAMES = ["key", "low", "high", "off", "doc", "twin", "at", "n", "piece"]
 
 
-_PIECES = "key long, doc long, twin long, at int, piece binary, n int"
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(_PIECE_KINDS)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _PIECE_KINDS, strict=True)], _PIECE_NAMES)
+
+
+def _key(context: bytes, low: int, high: int) -> int:
+    return xxhash.xxh64_intdigest(context, low << 16 | high) - (1 << 63)
+
+
+def _merged(places: list[tuple]) -> list[tuple]:
+    """Later places (doc, twin, at, n) without bytes, with strings that follow each other in one row; keys deal them evenly."""
+    doc, twin, at, n = (np.array(c, np.int64) for c in zip(*places, strict=True))
+    order = np.lexsort((at, twin, doc))
+    doc, twin, at, n = doc[order], twin[order], at[order], n[order]
+    new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (twin[1:] != twin[:-1]) | (at[1:] != at[:-1] + n[:-1])))
+    total = np.add.reduceat(n, np.flatnonzero(new))
+    key = (mix64((at ^ twin)[new].astype(np.uint64))).view(np.int64)
+    return [(k, 0, 0, 0, d, t, a, m, None) for k, d, t, a, m in zip(key.tolist(), doc[new].tolist(), twin[new].tolist(), at[new].tolist(), total.tolist(), strict=True)]
+
+
+def _halves(row: tuple, length: int) -> list[tuple]:
+    """A text's strings in two rows, by how far before the anchor they start; strings that share a key share more bytes."""
+    _, low, high, off, doc, twin, at, n, piece = row
+    middle, out = (low + high) // 2, []
+    for a, b in ((low, middle), (middle + 1, high)):
+        first, last = off - min(b, off), off - max(a, off - n + 1)
+        if first <= last:
+            context = piece[off - a : off + length - b]
+            out.append((_key(context, a, b), a, b, off - first, doc, twin, at + first, last - first + 1, piece[first : last + length]))
+    return out
 
 
-def _compare(keyed: DataFrame, asked: DataFrame, length: int) -> DataFrame:
-    """Strings that start earlier in another segment of their anchor."""
-    context = (length - GRAM) // 2
+def _fetch(keyed: DataFrame, asked: DataFrame, length: int) -> DataFrame:
+    """The texts of segments, by anchor."""
+    high = length - GRAM
 
     def fetch(batches):
-        hasher = _Hasher()
+        texts: dict[bytes, tuple] = {}  # the earliest place of each
+        later: list[tuple] = []
+
+        def flush():
+            out = [(_key(piece[off : off + GRAM], 0, high), 0, high, off, doc, twin, at, len(piece) - length + 1, piece) for piece, (doc, twin, at, off) in texts.items()]
+            if later:
+                out += _merged(later)
+            texts.clear()
+            later.clear()
+            return _batch(out)
+
         for batch in slices(batches):
-            out: dict[tuple, tuple] = {}  # the earliest place of each text of an anchor
-            again: list[tuple] = []  # later places, which need no text any more; any task may take them
-            texts = batch.column("text")
-            spans = batch.column("spans")
-            docs, twins = batch.column("doc").to_pylist(), batch.column("twin").to_pylist()
-            for i in range(batch.num_rows):
-                raw = texts[i].as_py().encode()
-                hasher.read(np.frombuffer(raw, np.uint8))
-                values = spans[i].values
-                at, n = values.field("at").to_numpy(), values.field("n").to_numpy()
-                stop = at + n - 1
-                grams = mix64(hasher.of(slice(0, len(raw) - GRAM + 1), slice(GRAM, None)))
-                for a, z, anchor in zip(at.tolist(), stop.tolist(), values.field("anchor").to_numpy().view(np.uint64).tolist(), strict=True):
-                    own = z + int(np.flatnonzero(grams[z : a + length - GRAM + 1] == np.uint64(anchor))[0])  # in all of the segment's strings, and leftmost
-                    for side, x, y in ((0, a, min(z, own - context)), (1, max(a, own - context + 1), z)):
-                        if x <= y:
-                            near = hasher.of(np.array([own - context if side == 0 else own]), np.array([own + GRAM if side == 0 else own + GRAM + context]))
-                            key = mix64(near ^ np.uint64(side))
-                            row = (int(key.view(np.int64)[0]), docs[i], twins[i], x, raw[x : y + length], y - x + 1)
-                            first = out.setdefault((row[0], row[4]), row)
-                            if row[1:4] != first[1:4]:
-                                out[row[0], row[4]], later = sorted((row, first), key=lambda r: r[1:4])
-                                again.append((later[2] ^ later[3], *later[1:4], None, later[5]))
-                if len(out) + len(again) >= 20_000:
-                    yield _batch([*out.values(), *again])
-                    out, again = {}, []
-            if out:
-                yield _batch([*out.values(), *again])
+            columns = (batch.column(c).to_pylist() for c in ("doc", "twin", "text"))
+            for doc, twin, text, spans in zip(*columns, batch.column("spans"), strict=True):
+                raw = text.encode()
+                ats, ns, offs = (spans.values.field(c).to_numpy().tolist() for c in ("at", "n", "off"))
+                for at, n, off in zip(ats, ns, offs, strict=True):
+                    piece = raw[at : at + n + length - 1]
+                    own = (doc, twin, at, off)
+                    first = texts.setdefault(piece, own)
+                    if first != own:
+                        if own < first:
+                            texts[piece], first, own = own, own, first
+                        later.append((*own[:3], n))
+                if len(texts) + len(later) // 4 >= HELD_TEXTS:
+                    yield flush()
+        if texts:
+            yield flush()
+
+    by_doc = asked.groupBy("doc", "twin").agg(F.collect_list(F.struct("at", "n", "off")).alias("spans"))
+    return keyed.join(by_doc, ["doc", "twin"]).select("doc", "twin", "text", "spans").mapInArrow(fetch, _PIECES)
+
+
+def _compare(pieces: DataFrame, length: int, key_bytes: int) -> DataFrame:
+    """Strings that start earlier in another text of their key (key null), and texts that are to be dealt again."""
 
     def compare(batches):
-        key, ready, size = None, [], 0
-        held: dict[bytes, tuple] = {}  # of one key, the earliest place of each text
-        whole: list[tuple] = []  # texts that repeat an earlier one of their key
-
-        def solve(rows):
-            places = np.array([r[1:4] for r in rows], [("doc", "<i8"), ("twin", "<i8"), ("at", "<i8")])
-            for row, again in zip(rows, repeated_in([r[4] for r in rows], places, length), strict=True):
-                if len(again):
-                    cut = np.flatnonzero(np.concatenate(([True], np.diff(again) > 1)))
-                    runs = np.diff(np.append(cut, len(again)))
-                    yield from ((row[1], row[2], row[3] + int(x), int(n)) for x, n in zip(again[cut], runs, strict=True))
-
-        def settle(rows):
-            got = [*(solve(rows) if rows else ()), *whole]
-            whole.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.int32()), pa.array([g[3] for g in got], pa.int32()), pa.array([None] * len(got), pa.int64())],
-                ["doc", "twin", "at", "n", "anchor"],
-            )
+        key, size, held_size, again = None, 0, 0, False
+        ready: list[tuple] = []  # distinct texts of finished keys
+        held: dict[bytes, tuple] = {}  # of this key, the earliest place of each text
+        later: list[tuple] = []  # later places of texts
+        out: list[tuple] = []
+
+        def settle():
+            """Results of the texts at hand: of their earliest places by the transform; later ones repeat them as a whole."""
+            got = [(None, 0, 0, 0, *place, None) for place in later]
+            later.clear()
+            if ready:
+                places = np.array([r[4:7] for r in ready], [("doc", "<i8"), ("twin", "<i8"), ("at", "<i8")])
+                for row, found in zip(ready, repeated_in([r[8] for r in ready], places, length), strict=True):
+                    if len(found):
+                        cut = np.flatnonzero(np.concatenate(([True], np.diff(found) > 1)))
+                        runs = np.diff(np.append(cut, len(found)))
+                        got += ((None, 0, 0, 0, row[4], row[5], row[6] + x, k, None) for x, k in zip(found[cut].tolist(), runs.tolist(), strict=True))
+                ready.clear()
+            return got
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True):
-                if row[4] is None:
-                    whole.append((*row[1:4], row[5]))
-                    continue
-                if row[0] != key:
-                    if len(held) > 1:
+            for row in zip(*(batch.column(c).to_pylist() for c in range(9)), strict=True):
+                piece = row[8]
+                if piece is None:
+                    later.append(row[4:8])
+                else:
+                    if row[0] != key:
                         ready += held.values()
-                        size += sum(map(len, held))
-                    key, held = row[0], {}
-                    if size >= TRANSFORM_BYTES or len(whole) >= 10_000:
-                        yield settle(ready)
-                        ready, size = [], 0
-                first = held.setdefault(row[4], row)
-                if row[1:4] != first[1:4]:
-                    later = max(row, first, key=lambda r: r[1:4])
-                    held[row[4]] = min(row, first, key=lambda r: r[1:4])
-                    whole.append((*later[1:4], later[5]))
-        if len(held) > 1:
-            ready += held.values()
-        yield settle(ready)
-
-    by_doc = asked.groupBy("doc", "twin").agg(F.collect_list(F.struct("at", "n", "anchor")).alias("spans"))
-    pieces = keyed.join(by_doc, ["doc", "twin"]).select("doc", "twin", "text", "spans").mapInArrow(fetch, _PIECES)
-    return pieces.repartition("key").sortWithinPartitions("key").mapInArrow(compare, _SPANS)
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "doc", "twin", "at", "piece", "n"])
+                        size += held_size
+                        key, held, held_size, again = row[0], {}, 0, False
+                    if again:
+                        out += _halves(row, length)
+                    else:
+                        first = held.setdefault(piece, row)
+                        if first is row:
+                            held_size += len(piece)
+                            if held_size > key_bytes and row[1] < row[2]:
+                                for own in held.values():
+                                    out += _halves(own, length)
+                                held, held_size, again = {}, 0, True
+                        elif row[4:7] != first[4:7]:
+                            if row[4:7] < first[4:7]:
+                                held[piece], first, row = row, row, first
+                            later.append(row[4:8])
+                if size >= TRANSFORM_BYTES or len(later) >= 20_000:
+                    out += settle()
+                    size = 0
+                if len(out) >= 20_000:
+                    yield _batch(out)
+                    out = []
+        ready += held.values()
+        yield _batch(out + settle())
+
+    return pieces.repartition("key").sortWithinPartitions("key").mapInArrow(compare, _PIECES)
+
+
+def _repeated(keyed: DataFrame, length: int, key_bytes: int) -> DataFrame:
+    """(doc, twin, at, n): n strings from place at on repeat earlier ones."""
+    asked = materialize(_meet(keyed, length), "segments")
+    found, pieces = [], _fetch(keyed, asked, length)
+    while True:
+        out = materialize(_compare(pieces, length, key_bytes), "strings")
+        found.append(out.where("key is null").select("doc", "twin", "at", "n"))
+        pieces = out.where("key is not null")
+        if pieces.isEmpty():
+            return reduce(DataFrame.unionByName, found)
 
 
-def _with_spans(documents: DataFrame, length: int) -> tuple[DataFrame, str]:
+def _with_spans(documents: DataFrame, length: int, key_bytes: int) -> tuple[DataFrame, str]:
     """All columns of the documents and an array of (at, n): n strings from place at on repeat earlier ones."""
     text = F.coalesce("text", F.lit(""))
     keyed = documents.select(F.coalesce("doc_id", F.lit(_NO_DOC)).alias("doc"), F.xxhash64(text).alias("twin"), text.alias("text"))
-    met = materialize(_meet(keyed, length), "segments")
-    other = materialize(_compare(keyed, met.where("anchor is not null"), length), "strings")
     spans = fresh(documents, "spans")
-    found = met.where("anchor is null").unionByName(other).groupBy("doc", "twin").agg(F.collect_list(F.struct("at", "n")).alias(spans))
+    found = _repeated(keyed, length, key_bytes).groupBy("doc", "twin").agg(F.collect_list(F.struct("at", "n")).alias(spans))
     doc, twin = fresh(documents, "doc"), fresh(documents, "twin")
     found = found.withColumnsRenamed({"doc": doc, "twin": twin})
     same = (F.coalesce(documents["doc_id"], F.lit(_NO_DOC)) == found[doc]) & (F.xxhash64(F.coalesce(documents["text"], F.lit(""))) == found[twin])
@@ -410,18 +477,19 @@ def _kept(raw: bytes, spans: pa.Scalar, length: int) -> tuple[bytes, int, int]:
     """Bytes that stay, bytes removed, runs removed."""
     if not spans.is_valid:
         return raw, 0, 0
-    at, n = spans.values.field("at").to_numpy(), spans.values.field("n").to_numpy()
-    edge = np.zeros(len(raw) + 1, np.int64)
-    np.add.at(edge, at, 1)
-    np.add.at(edge, at + n - 1 + length, -1)
-    gone = np.cumsum(edge[:-1]) > 0
-    runs = int(gone[0]) + int(np.count_nonzero(gone[1:] & ~gone[:-1]))
-    return np.frombuffer(raw, np.uint8)[~gone].tobytes(), int(gone.sum()), runs
+    at, n = spans.values.field("at").to_numpy().astype(np.int64), spans.values.field("n").to_numpy()
+    order = np.argsort(at)
+    at, stop = at[order], (at + n - 1 + length)[order]
+    reach = np.maximum.accumulate(stop)
+    new = np.flatnonzero(np.concatenate(([True], at[1:] > reach[:-1])))
+    starts, stops = at[new].tolist(), reach[np.append(new[1:], len(at)) - 1].tolist()
+    kept = b"".join(raw[i:j] for i, j in zip([0, *stops], [*starts, len(raw)], strict=True))
+    return kept, len(raw) - len(kept), len(starts)
 
 
-def repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeats(documents: DataFrame, length: int = LENGTH, key_bytes: int = KEY_BYTES) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    joined, spans = _with_spans(documents.select("doc_id", "text"), length)
+    joined, spans = _with_spans(documents.select("doc_id", "text"), length, key_bytes)
 
     def rows(batches):
         for batch in slices(batches):
@@ -435,12 +503,12 @@ def repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     return joined.mapInArrow(rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
+def remove_repeats(documents: DataFrame, length: int = LENGTH, key_bytes: int = KEY_BYTES) -> DataFrame:
     """The documents without their repeated bytes; n_chars, where there is one, follows.
 
     A character that loses some of its bytes goes altogether. A text that is null, or loses nothing, stays as it is.
     """
-    joined, spans = _with_spans(documents, length)
+    joined, spans = _with_spans(documents, length, key_bytes)
     columns = documents.columns
     has_count = "n_chars" in columns
 

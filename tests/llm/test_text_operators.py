@@ -399,22 +399,53 @@ def plain_removal(rows, length):
     return out
 
 
-def test_suffix_dedup(spark, awkward, nothing):
+def suffix_rows():
     shared = "".join(chr(97 + (i * i) % 26) for i in range(150))
     more = [(100 + i, prose(40 + i, 30) + shared[: 90 + 5 * i] + prose(60 + i, 30)) for i in range(10)] + [(200, "xy" * 300), (201, "漢字仮名" * 60)]
-    documents = awkward.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string")).where("doc_id is not null and doc_id <> 3")
-    order = sorted((i, (t or "").encode()) for i, t in [*AWKWARD, *more] if i not in (None, 3))
-    masks = plain_removal([t for _, t in order], 100)
-    want = {}
-    for (i, t), m in zip(order, masks, strict=True):
-        runs = int(m[:1].sum() + (m[1:] & ~m[:-1]).sum())
-        want[i] = (len(t), int(m.sum()), runs, hashlib.sha256(np.frombuffer(t, np.uint8)[~m].tobytes()).hexdigest())
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix.repeats(documents).collect()}
-    assert got == want
-    assert suffix.repeats(awkward).count() == len(AWKWARD) and suffix.repeats(nothing).count() == 0
+    phrase = prose(99, 12)  # of fewer than 100 bytes: a common anchor with many different contexts
+    return [*AWKWARD, *more, *((300 + i, prose(400 + i, 8) + " " + phrase + " " + prose(500 + i % 20, 25)) for i in range(60))]
+
+
+def plain_results(spark, rows):
+    """(doc_id, n_bytes, n_removed, n_spans, kept) of every row; null ids come first, equal ones in order of a hash of the text."""
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "coalesce(text, '') AS text", "xxhash64(coalesce(text, '')) AS twin")
+    documents = sorted({(-(2**63) if r.doc_id is None else r.doc_id, r.twin, r.text.encode()) for r in frame.collect()})
+    masks = {(i, t): m for (i, _, t), m in zip(documents, plain_removal([t for _, _, t in documents], 100), strict=True)}
+    out = Counter()
+    for i, text in rows:
+        raw = (text or "").encode()
+        m = masks[-(2**63) if i is None else i, raw]
+        out[i, len(raw), int(m.sum()), int(m[:1].sum() + (m[1:] & ~m[:-1]).sum()), np.frombuffer(raw, np.uint8)[~m].tobytes()] += 1
+    return out
+
+
+@pytest.mark.parametrize(("key_bytes", "window"), [(suffix.KEY_BYTES, suffix.WINDOW), (300, 1000), (0, suffix.WINDOW)])
+def test_suffix_dedup(spark, key_bytes, window, monkeypatch):
+    monkeypatch.setattr(suffix, "WINDOW", window)
+    rows = suffix_rows()
+    want = Counter({(i, n, removed, spans, hashlib.sha256(kept).hexdigest()): k for (i, n, removed, spans, kept), k in plain_results(spark, rows).items()})
+    got = suffix.repeats(spark.createDataFrame(rows, "doc_id long, text string"), key_bytes=key_bytes).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
+
+
+def test_texts_without_their_repeats(spark, awkward, nothing):
     cut = suffix.remove_repeats(awkward)
-    assert cut.columns == awkward.columns and cut.count() == len(AWKWARD)
-    assert cut.where("doc_id = 2").first().text == "" and cut.where("doc_id = 2").first().n_chars == 0
+    assert cut.columns == awkward.columns
+    want = Counter((i, kept.decode(errors="ignore")) for (i, *_, kept), k in plain_results(spark, AWKWARD).items() for _ in range(k))
+    rows = cut.collect()
+    assert Counter((r.doc_id, r.text or "") for r in rows) == want
+    assert all(r.n_chars == len(r.text or "") for r in rows)
+    assert suffix.repeats(nothing).count() == 0 and suffix.remove_repeats(nothing).count() == 0
+
+
+def test_equal_hashes_of_different_bytes_remove_nothing(spark, monkeypatch):
+    texts = [prose(700 + i, 60) for i in range(20)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(50, texts[3])]
+    want = plain_results(spark, rows)
+    monkeypatch.setattr(suffix, "mix64", lambda x: x & np.uint64(3) if isinstance(x, np.ndarray) else x)  # four hashes in all
+    monkeypatch.setattr(suffix, "_key", lambda context, low, high: low % 2)
+    got = suffix.repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert {(r.doc_id, r.n_removed) for r in got} == {(i, removed) for i, _, removed, _, _ in want}
 
 
 @settings(max_examples=60, deadline=None)
