@@ -36,6 +36,24 @@ def test_altered_notices(spark, awkward, nothing):
     assert licenses.scan(nothing).count() == 0 and licenses.scan(awkward).count() == 0
 
 
+def test_repeated_rows_and_long_texts_with_notices(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "PART", 50)
+    notice = licenses.TEMPLATES["MIT"]
+    rows = [(1, notice), (1, notice), (1, "see: " + notice), (None, notice), (2, (notice + " ") * 2000), (3, prose(8, 3000) + " " + licenses.TEMPLATES["ISC-text"] + " " + prose(9, 300))]
+    got = {(r.doc_id, r.license): (r.containment, r.first_word, r.n_windows) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1, "MIT"] == (1.0, 0, 2) and got[None, "MIT"] == (1.0, 0, 1)  # places 0 and 1
+    assert got[2, "MIT"] == (1.0, 0, 2000)
+    assert got[3, "ISC-text"][0] == 1.0 and 2950 < got[3, "ISC-text"][1] <= 3000
+
+
+def test_every_template_is_found_by_the_text_it_names(spark):
+    names = sorted(licenses.TEMPLATES)
+    rows = [(i, prose(i, 60) + " " + licenses.TEMPLATES[name] + " " + prose(i + 50, 30)) for i, name in enumerate(names)]
+    got = {(r.doc_id, r.license): r.containment for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i, name] >= 0.95 for i, name in enumerate(names))  # a text that repeats a shingle is longer than its window
+    assert licenses.groups({"a": "x " * 30, "b": "y " * 30, "c": "z " * 70}, 60) == [{"a": "x " * 30, "b": "y " * 30}, {"c": "z " * 70}]
+
+
 # -- WARC
 
 
