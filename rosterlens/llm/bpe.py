@@ -8,7 +8,8 @@ array operations, a row of trees for each power of two of their sizes; long piec
 Each distinct piece of a slice of texts is encoded once, so work follows a slice's vocabulary rather than its length.
 
 Defined results: a null text is empty and has no ids; rows that repeat are encoded each; texts of any length are
-encoded whole; ids that the vocabulary lacks cannot be decoded and raise.
+encoded whole; ids that the vocabulary lacks cannot be decoded and raise; extra columns play no part; without documents
+there are no rows.
 """
 
 from __future__ import annotations

@@ -11,7 +11,10 @@ which one text is learned.
 
 Defined results: null texts and texts without letters are ``und`` with score 0, as is every text when nothing could be
 learned; a null doc_id counts as not held out and is never learned from; ties go to the first language by name; rows
-that repeat are judged each.
+that repeat are judged each; texts of any length are judged and learned whole, in some fifty bytes of memory for each of
+their bytes; extra columns are carried by ``filter_language`` and play no part; without documents there are no rows.
+
+The driver holds one filter for each language (``2 ** SLOTS_LOG2`` bits), and every worker all of them.
 """
 
 from __future__ import annotations
