@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import oracle
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 from samples import AWKWARD, prose
 
 import corpus_pipeline
-from rosterlens.llm import ann, chat, licenses, queries, warc
+import test_text_operators as plain
+from rosterlens.llm import ann, chat, langid, licenses, quality, queries, warc
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -301,6 +303,28 @@ def test_pipeline(spark):
     assert sorted(map(tuple, ran.select(*key).collect())) == sorted(map(tuple, docs.select(*key).collect()))
 
 
+def test_stages_equal_plain_versions(spark):
+    """Each stage on its own input: the rows that stay, and what is left of their texts, by the plain versions of the operators' tests."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("length(text) < 6000")
+    model = quality.train(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+
+    def left(name):
+        return sorted((r.doc_id, r.text) for r in dict(corpus_pipeline.STAGES)[name](spark, docs, SF_DIR).collect())
+
+    def good(text):
+        logit = model.bias + sum(model.weights[k] * v for k, v in plain.plain_features(text).items())
+        return 1 / (1 + np.exp(-(model.slope * logit + model.shift))) >= quality.KEEP_AT
+
+    assert left("quality rules") == sorted((i, t) for i, t in rows if not plain.base(t)[5] and good(t))
+    names, scores = langid.train(docs).predict(pa.array([t for _, t in rows]))
+    assert left("language") == sorted(x for x, n, s in zip(rows, names, scores, strict=True) if n != "und" and s >= langid.KEEP_AT)
+    roots = plain.plain_components([plain.plain_fingerprint(t) for _, t in rows])
+    assert [i for i, _ in left("near duplicates")] == sorted(min(i for (i, _), r in zip(rows, roots, strict=True) if r == root) for root in set(roots))
+    kept = {i: k for i, _, _, _, k in plain.plain_results(spark, rows)}
+    assert left("repeated passages") == sorted((i, kept[i].decode(errors="ignore")) for i, _ in rows)
+
+
 def test_stages_on_awkward_and_empty_documents(spark, tmp_path):
     rows = [(i, t, "en", "s", len(t or "")) for i, t in AWKWARD] + [(300, prose(77, 200), "en", "s", 1)]
     for docs in (spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")):

@@ -398,6 +398,18 @@ def test_simhash(spark, awkward, nothing):
     assert simhash.near_duplicates(nothing).count() == 0 and simhash.deduplicate(nothing).count() == 0
 
 
+def test_one_document_of_each_component_stays(spark, awkward):
+    rows = [(r.doc_id, r.text) for r in simhash.deduplicate(awkward).collect()]
+    prints = [plain_fingerprint(t) for _, t in AWKWARD]
+    roots = plain_components(prints)
+    for root in set(roots):
+        own = [x for x, r in zip(AWKWARD, roots, strict=True) if r == root]
+        named = [i for i, _ in own if i is not None]
+        allowed = [x for x in own if x[0] == (min(named) if named else None)]
+        assert sum(x in allowed for x in rows) == 1 or len({x for x in allowed}) < len(allowed)
+    assert len(rows) == len(set(roots)) and all(x in AWKWARD for x in rows)
+
+
 @pytest.mark.parametrize("node_limit", [10, simhash.NODE_LIMIT])
 def test_links_reach_what_all_pairs_reach(spark, node_limit, monkeypatch):
     monkeypatch.setattr(simhash, "TASK_LEAVES", 200)
