@@ -13,7 +13,7 @@ equal strings have equal anchors. Strings that follow each other share an anchor
 3. The texts of an anchor meet in one task. Over a share of texts a Burrows-Wheeler transform is built; breadth-first
    backward extension of its intervals finds common prefixes by increasing length and stops at ``length``. The suffixes
    that no boundary below that length parts are equal strings, and repeat the earliest place of them; so do all later
-   places of one text.
+   places of one text. (The strings of one text differ from each other, as an anchor is the leftmost of its strings.)
 4. Each document's repeated strings make its removed spans.
 
 An anchor with more than ``KEY_BYTES`` of different texts (a common phrase) is dealt again: its strings are cut in halves
@@ -53,9 +53,9 @@ HELD, HELD_TEXTS = 400_000, 100_000
 #: Bytes of a text that are searched for anchors at a time.
 WINDOW = 1 << 22
 #: Places between the stored ranks of a transform, and intervals extended at a time.
-SAMPLED, WIDE = 32, 8192
+SAMPLED, WIDE = 16, 16384
 #: Bytes of text that one Burrows-Wheeler transform takes at a time (an anchor's texts stay together).
-TRANSFORM_BYTES = 1 << 17
+TRANSFORM_BYTES = 1 << 16
 #: Bytes of different texts beyond which an anchor is dealt again.
 KEY_BYTES = 1 << 19
 
@@ -212,21 +212,24 @@ def _meet(keyed: DataFrame, length: int) -> DataFrame:
 
 
 def bounded_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Rotations of ``text`` (symbols below 512) by at least their first ``depth`` symbols, by prefix doubling."""
+    """Rotations of ``text`` (symbols below 512) by at least their first ``depth`` symbols, by prefix tripling."""
     n = len(text)
     key = np.zeros(n, np.int64)
     for i in range(7):
         key = (key << 9) | np.roll(text, -i)
     reach = 7
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate(([0], ordered[1:] != ordered[:-1])))
+        rank[order] = np.cumsum(np.concatenate(([False], ordered[1:] != ordered[:-1])))
         if reach >= depth:
             return order
         key = rank * n + np.roll(rank, -reach)
-        reach *= 2
+        if n < 1 << 21 and 2 * reach < depth:
+            key, reach = key * n + np.roll(rank, -2 * reach), 3 * reach
+        else:
+            reach *= 2
 
 
 class _Ranks:
@@ -262,20 +265,21 @@ def long_prefix_groups(text: np.ndarray, length: int) -> tuple[np.ndarray, np.nd
     order = bounded_order(text, length)
     bwt = text[order - 1]
     symbols, code = np.unique(bwt, return_inverse=True)
-    by_symbol = np.argsort(code, kind="stable")
+    by_symbol = np.argsort(code.astype(np.uint16), kind="stable")
     counts = np.bincount(code, minlength=len(symbols))
     base = np.concatenate(([0], np.cumsum(counts)[:-1]))
     step = np.empty(n, np.int64)  # where the suffix one symbol longer stands
     step[by_symbol] = np.arange(n)
     ranks = _Ranks(code, len(symbols))
+    run = np.cumsum(np.concatenate(([False], code[1:] != code[:-1])))
     open_ = np.ones(n + 1, bool)
     low, high = np.zeros(1, np.int64), np.full(1, n, np.int64)
     for _ in range(length):
-        single = high - low == 1
-        lows, highs = [step[low[single]]], [step[low[single]] + 1]
-        i, j = low[~single], high[~single]
+        one = run[low] == run[high - 1]  # the same symbol stands before all of the interval: one extension
+        lows, highs = [step[low[one]]], [step[low[one]] + (high - low)[one]]
+        i, j = low[~one], high[~one]
         for k in range(0, len(i), WIDE):
-            x, y = base + ranks.at(i[k : k + WIDE]), base + ranks.at(j[k : k + WIDE])
+            x, y = np.split(base + ranks.at(np.concatenate((i[k : k + WIDE], j[k : k + WIDE]))), 2)
             some = y > x
             lows.append(x[some])
             highs.append(y[some])
@@ -302,11 +306,12 @@ def repeated_in(pieces: list[bytes], places: np.ndarray, length: int) -> list[np
     valid = (offset + length <= sizes[piece] - 1)[order]
     order, group = order[valid], group[valid]
     of, off = piece[order], offset[order]
-    doc, twin, at = places["doc"][of], places["twin"][of], places["at"][of] + off
-    by = np.lexsort((at, twin, doc, group))
+    documents = np.unique(places[["doc", "twin"]], return_inverse=True)[1].astype(np.int64)
+    place = (documents[of] << 32) | (places["at"][of] + off)
+    by = np.lexsort((place, group))
     first = np.concatenate(([True], group[by][1:] != group[by][:-1]))
     head = by[np.flatnonzero(first)[np.cumsum(first) - 1]]
-    later = by[(doc[by] != doc[head]) | (twin[by] != twin[head]) | (at[by] != at[head])]
+    later = by[place[by] != place[head]]
     marked = np.zeros(len(data), bool)
     marked[order[later]] = True
     return [np.flatnonzero(marked[heads[i] : heads[i] + sizes[i]]) for i in range(len(pieces))]
@@ -420,8 +425,9 @@ def _compare(pieces: DataFrame, length: int, key_bytes: int) -> DataFrame:
                     later.append(row[4:8])
                 else:
                     if row[0] != key:
-                        ready += held.values()
-                        size += held_size
+                        if len(held) > 1:  # the strings of one text of an anchor differ
+                            ready += held.values()
+                            size += held_size
                         key, held, held_size, again = row[0], {}, 0, False
                     if again:
                         out += _halves(row, length)
@@ -443,7 +449,8 @@ def _compare(pieces: DataFrame, length: int, key_bytes: int) -> DataFrame:
                 if len(out) >= 20_000:
                     yield _batch(out)
                     out = []
-        ready += held.values()
+        if len(held) > 1:
+            ready += held.values()
         yield _batch(out + settle())
 
     return pieces.repartition("key").sortWithinPartitions("key").mapInArrow(compare, _PIECES)
