@@ -41,9 +41,10 @@ def count_changes(before: DataFrame, now: DataFrame) -> DataFrame:
 
 
 def grade_changes(before: DataFrame, now: DataFrame) -> DataFrame:
-    """Cells whose grade is another; improved and declined count bh cells that have both grades."""
+    """Cells whose grade is another, with both scores; improved and declined count bh cells that have both grades."""
     key = ["scid", "county", "scope"]
-    both = before.select(*key, F.col("grade").alias("grade_before")).join(now.select(*key, F.col("grade").alias("grade_now")), key, "full")
+    old, new = (rows.select(*key, F.col("grade").alias(f"grade_{name}"), F.col("score").alias(f"score_{name}")) for rows, name in ((before, "before"), (now, "now")))
+    both = old.join(new, key, "full")
     moved = both.where(F.coalesce("grade_before", F.lit("")) != F.coalesce("grade_now", F.lit("")))
     improved = F.col("grade_now") < F.col("grade_before")
     return moved.withColumn("move", F.when((F.col("scope") == "bh") & improved.isNotNull(), F.when(improved, "improved").otherwise("declined")))

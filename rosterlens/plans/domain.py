@@ -7,7 +7,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import attribution, callsheet, compact, diff, metrics, reports, scoring
+from ..functions import specialty
+from ..operators import attribution, callsheet, compact, diff, metrics, pages, reports, scoring
 from ..operators.compact import RECORD
 from ..sources import corpus
 from ..sources.corpus import FETCH_DATE, SNAPSHOT
@@ -120,6 +121,22 @@ class Audit:
     def scores(self) -> DataFrame:
         return stage(scoring.cell_scores(self.roster, self.penalties, self.rates))
 
+    @cached_property
+    def scores_before(self) -> DataFrame:
+        """Scores of the earlier snapshot's records, on the plans, addresses and registry that both share; county 01001 was not sold."""
+        bh = scoring.bh_records(self.c["providers_before"], self.c["nppes"])
+        cells = scoring.cells(self.c["plan_county"].where("fips <> '01001'"))
+        roster = scoring.roster(cells, self.attached, self.record_counties, bh)
+        return stage(scoring.cell_scores(roster, scoring.record_penalties(self.evidence_before), scoring.out_of_area_rates(self.attached, self.record_counties, self.m7_before)))
+
+    @cached_property
+    def status_all(self) -> DataFrame:
+        return stage(diff.flag_status(self.findings(True), self.findings(False)))
+
+    @cached_property
+    def published(self) -> DataFrame:
+        return stage(scoring.published(self.scores, self.c["plan_county"]))
+
     @cached_property
     def calls(self) -> DataFrame:
         return callsheet.call_roster(callsheet.candidates(self.scores), self.roster, self.c["providers"], self.c["provider_addresses"])
@@ -146,6 +163,26 @@ def _fields(rows: DataFrame, **paths: str) -> DataFrame:
     return rows.select(*own, *[F.get_json_object("observed", f"$.{k}").cast(v).alias(k) for k, v in paths.items()])
 
 
+_TARGET = "8005550003"
+
+
+def _hosts(a: Audit) -> DataFrame:
+    own = a.c["manifest"].where("sha256 is not null").select(F.col("sha256").alias("source_sha256"), "url")
+    return own.join(a.c["file_issuers"], "source_sha256").select("issuer_id", "url")
+
+
+def _feed(a: Audit) -> DataFrame:
+    flags = metrics.feed_flags(a.c["manifest"], SNAPSHOT, (*metrics.RESTRICTED_HOSTS, "host2.com")).select(F.col("url").alias("index_url"), "subcode")
+    files = a.c["manifest"].where("sha256 is not null").select("index_url", F.col("sha256").alias("source_sha256")).join(a.c["file_issuers"], "source_sha256")
+    return files.join(flags, "index_url").select("issuer_id", "subcode").distinct()
+
+
+def _summaries(a: Audit) -> DataFrame:
+    changes = pages.diff_summary(a.status_all, diff.grade_changes(a.scores_before, a.scores))
+    now = changes.select(F.lit(SNAPSHOT).alias("snapshot"), F.lit("2026-07").alias("previous"), "resolved", "new", "improved", "declined")
+    return now.unionByName(now.select(F.lit("2026-07").alias("snapshot"), F.lit(None).cast("string").alias("previous"), *[F.lit(0).cast("long").alias(c) for c in ("resolved", "new", "improved", "declined")]))
+
+
 _SCORES = "scid, county, state, scope, n, component_a, component_b, out_of_area_rate, score_weighted, score, score_uniform, grade, low_sample, numeric_suppressed, thin_roster"
 _ISSUER = "substr(scid, 1, 5)"
 
@@ -164,6 +201,7 @@ DOMAIN = {
     "m8_accepting": (lambda a: _fields(a.m8), f"SELECT {_KEY} FROM m8"),
     "m9_registry": (lambda a: _fields(a.m9, deactivation_date="string"), f"SELECT {_KEY}, deactivation_date FROM m9"),
     "m10_taxonomy": (lambda a: _fields(a.m10, specialties="string", nppes_taxonomies="string"), f"SELECT {_KEY}, specialties, taxonomies AS nppes_taxonomies FROM m10"),
+    "specialty_normalize_classify": (lambda a: specialty.verdicts(a.c["providers"]), "SELECT specialties, verdict FROM specialty_verdicts"),
     "m1_m2_feed": (lambda a: metrics.feed_flags(a.c["manifest"], SNAPSHOT, (*metrics.RESTRICTED_HOSTS, "host2.com")).select("metric", "subcode", "url"), "SELECT metric, subcode, url FROM feed"),
     "evidence_union": (lambda a: a.evidence.groupBy("metric", "subcode").agg(F.count("*").alias("n"), F.round(F.sum("weight"), 3).alias("weight")), "SELECT metric, subcode, count(*) AS n, round(sum(weight), 3) AS weight FROM evidence GROUP BY 1, 2"),
     "record_penalty": (
@@ -189,28 +227,77 @@ DOMAIN = {
         "SELECT issuer_id, metric, coalesce(n_before, 0) AS n_before, coalesce(n_now, 0) AS n_now, coalesce(n_now, 0) - coalesce(n_before, 0) AS delta FROM (SELECT issuer_id, metric, count(*) AS n_before FROM evidence_before JOIN file_issuers USING (source_sha256) WHERE npi IS NULL GROUP BY 1, 2) b FULL JOIN (SELECT issuer_id, metric, count(*) AS n_now FROM evidence_small JOIN file_issuers USING (source_sha256) WHERE npi IS NULL GROUP BY 1, 2) n USING (issuer_id, metric)",
     ),
     "flag_status_all": (
-        lambda a: diff.flag_status(a.findings(True), a.findings(False)),
+        lambda a: a.status_all,
         "SELECT issuer_id, metric, subcode, npi, CASE WHEN max(now) = 0 THEN 'resolved' WHEN min(now) = 1 THEN 'new' ELSE 'persisting' END AS status FROM (SELECT metric, subcode, npi, source_sha256, 1 AS now FROM evidence UNION ALL SELECT metric, subcode, npi, source_sha256, 0 FROM all_before) JOIN file_issuers USING (source_sha256) WHERE npi IS NOT NULL GROUP BY 1, 2, 3, 4",
     ),
     "count_changes_all": (
         lambda a: diff.count_changes(a.findings(True), a.findings(False)),
         "SELECT issuer_id, metric, CAST(sum(1 - now) AS BIGINT) AS n_before, CAST(sum(now) AS BIGINT) AS n_now, CAST(sum(2 * now - 1) AS BIGINT) AS delta FROM (SELECT issuer_id, metric, 1 AS now FROM evidence JOIN file_issuers USING (source_sha256) WHERE npi IS NULL UNION ALL SELECT issuer_id, metric, 0 FROM all_before JOIN file_issuers USING (source_sha256) WHERE npi IS NULL UNION ALL SELECT substr(plan_id, 1, 5), metric, 1 FROM m7 UNION ALL SELECT substr(plan_id, 1, 5), metric, 0 FROM m7_before) GROUP BY 1, 2",
     ),
-    "grade_changes": (
-        lambda a: diff.grade_changes(a.scores.withColumn("grade", F.when(F.col("county") != "01001", F.when(F.col("grade") == "A", "B").otherwise(F.col("grade")))), a.scores),
-        "SELECT scid, county, scope, g AS grade_before, grade AS grade_now, CASE WHEN scope = 'bh' AND g IS NOT NULL AND grade IS NOT NULL THEN CASE WHEN grade < g THEN 'improved' ELSE 'declined' END END AS move FROM (SELECT scid, county, scope, grade, CASE WHEN county <> '01001' THEN CASE WHEN grade = 'A' THEN 'B' ELSE grade END END AS g FROM scores) WHERE coalesce(g, '') <> coalesce(grade, '')",
+    "grade_changes": (lambda a: diff.grade_changes(a.scores_before, a.scores), "SELECT * FROM grade_moves"),
+    "cells_by_grade": (lambda a: pages.cells_by_grade(a.scores), "SELECT scope, CASE WHEN grade IS NULL THEN 'thin' ELSE grade END AS grade, count(*) AS n FROM scores GROUP BY ALL"),
+    "national_detail": (
+        lambda a: pages.national_detail(a.scores, a.c["providers"], a.evidence, SNAPSHOT),
+        f"""SELECT len(list_distinct(list(scid))) AS plans, len(list_distinct(list(county))) AS counties, len(list_distinct(list(state))) AS states, count(*) AS bh_cells, count_if(thin_roster)::BIGINT AS thin_bh, round(round(100.0 * count_if(thin_roster) / count(*), 9), 1) AS thin_bh_pct,
+ (SELECT round(round(100 * avg(r), 9), 1) FROM (SELECT DISTINCT scid, out_of_area_rate AS r FROM scores WHERE r IS NOT NULL)) AS avg_ooa_pct, (SELECT count(DISTINCT npi) FROM providers) AS npis,
+ (SELECT CAST(round(median(date_diff('month', TRY_STRPTIME(deactivation_date, '%m/%d/%Y'), DATE '{SNAPSHOT}-01'))) AS INT) FROM (SELECT npi, min(deactivation_date) AS deactivation_date FROM m9 WHERE subcode = 'DEACTIVATED' GROUP BY 1)) AS deact_median_months,
+ (SELECT count_if(newest < DATE '{SNAPSHOT}-01' - 365)::BIGINT FROM (SELECT max(TRY_CAST(last_updated_on AS DATE)) AS newest FROM providers GROUP BY source_sha256)) AS stale_files FROM scores WHERE scope = 'bh'""",
+    ),
+    "worst_phone_file": (
+        lambda a: pages.worst_phone_file(a.c["providers"].where("type <> 'GROUP'"), a.evidence, 3),
+        "SELECT source_sha256, round(100.0 * bad / n) AS phone_pct, round(100.0 * accepting / n) AS accepting_pct FROM (SELECT source_sha256, count(*) AS n, sum((accepting = 'accepting')::INT) AS accepting, avg((type = 'INDIVIDUAL')::INT) AS people FROM providers WHERE type <> 'GROUP' GROUP BY 1) JOIN (SELECT source_sha256, count(*) AS bad FROM bad_records WHERE subcode = 'PHONE' GROUP BY 1) USING (source_sha256) WHERE n >= 3 AND people >= 0.9 ORDER BY bad / n DESC, n DESC, source_sha256 LIMIT 1",
+    ),
+    "issuer_names": (lambda a: pages.issuer_names(a.published), f"SELECT {_ISSUER} AS issuer_id, 'Issuer ' || {_ISSUER} AS name, string_agg(DISTINCT state, ',' ORDER BY state) AS states FROM scores GROUP BY 1, 2"),
+    "issuer_pages": (
+        lambda a: pages.issuer_pages(a.scores, pages.issuer_names(a.published), _hosts(a), _feed(a)),
+        "SELECT issuer_id, name, states, cells, n_a, n_b, n_c, n_d, n_f, n_thin, avg_bh, ooa_pct, hosts, feed FROM (SELECT substr(scid, 1, 5) AS issuer_id, 'Issuer ' || issuer_id AS name, string_agg(DISTINCT state, ',' ORDER BY state) AS states, "
+        + "count(*) FILTER (WHERE scope = 'bh') AS cells, " + "".join(f"count(*) FILTER (WHERE scope = 'bh' AND grade = '{g}') AS n_{g.lower()}, " for g in "ABCDF")
+        + "count(*) FILTER (WHERE scope = 'bh' AND grade IS NULL) AS n_thin, round(round(avg(score) FILTER (WHERE scope = 'bh'), 9), 1) AS avg_bh, round(round(100 * avg(out_of_area_rate) FILTER (WHERE scope = 'all'), 9), 1) AS ooa_pct FROM scores GROUP BY 1, 2) "
+        + "LEFT JOIN (SELECT issuer_id, string_agg(DISTINCT split_part(url, '/', 3), ',' ORDER BY split_part(url, '/', 3)) AS hosts FROM manifest JOIN file_issuers ON sha256 = source_sha256 GROUP BY 1) USING (issuer_id) "
+        + "LEFT JOIN (SELECT issuer_id, string_agg(DISTINCT subcode, ',' ORDER BY subcode) AS feed FROM manifest f JOIN file_issuers ON sha256 = source_sha256 JOIN feed ON feed.url = f.index_url GROUP BY 1) USING (issuer_id)",
+    ),
+    "issuer_evidence": (
+        lambda a: pages.issuer_evidence(a.evidence, a.m7, a.c["file_issuers"]).select("issuer_id", "metric", "subcode", "source_sha256", "record_idx", "npi", "plan_id", F.get_json_object("observed", "$.out_of_area_attachments").cast("long").alias("n")),
+        "SELECT issuer_id, metric, subcode, source_sha256, record_idx, npi, NULL AS plan_id, NULL AS n FROM evidence JOIN file_issuers USING (source_sha256) UNION ALL SELECT substr(plan_id, 1, 5), 'M7_OUT_OF_AREA_SUMMARY', 'PER_PLAN_TOTAL', NULL, NULL, NULL, plan_id, count(*) FROM m7 GROUP BY plan_id",
+    ),
+    "state_pages": (lambda a: pages.state_pages(a.scores), f"SELECT state, county, max(grade) AS worst_grade, count(*) FILTER (WHERE thin_roster) AS thin, count(*) FILTER (WHERE grade IN ('D', 'F')) AS poor, count(DISTINCT {_ISSUER}) AS issuers FROM scores WHERE scope = 'bh' GROUP BY 1, 2"),
+    "thin_rosters": (lambda a: pages.thin_rosters(a.published), "SELECT scid, county AS county_fips, 'County ' || county AS county_name, state, 'Issuer ' || substr(scid, 1, 5) AS issuer_name, 'Plan ' || scid AS plan_marketing_name, n FROM scores WHERE scope = 'bh' AND n < 10"),
+    "capped_export": (lambda a: pages.capped(a.m4.select("source_sha256", "record_idx", "subcode"), 40), "SELECT source_sha256, record_idx, subcode FROM m4 ORDER BY md5(record_idx || '|' || source_sha256 || '|' || subcode) LIMIT 40"),
+    "diff_summary": (
+        lambda a: pages.diff_summary(a.status_all, diff.grade_changes(a.scores_before, a.scores)),
+        "SELECT (SELECT count(*) FROM all_status WHERE was = 0) AS new, (SELECT count(*) FROM all_status WHERE is_now = 0) AS resolved, (SELECT count(*) FROM all_status WHERE was + is_now = 2) AS persisting, (SELECT count(*) FROM grade_moves WHERE move = 'improved') AS improved, (SELECT count(*) FROM grade_moves WHERE move = 'declined') AS declined",
+    ),
+    "top_resolvers": (lambda a: pages.top_resolvers(a.status_all), "SELECT issuer_id, count(*) AS resolved FROM all_status WHERE is_now = 0 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"),
+    "change_feed": (
+        lambda a: pages.change_feed(_summaries(a)),
+        "SELECT '2026-07' AS snapshot, 'July 2026' AS label, 'First snapshot: baseline for July 2026' AS description UNION ALL SELECT '2026-08', 'August 2026', (SELECT count(*) FROM all_status WHERE is_now = 0) || ' findings resolved, ' || (SELECT count(*) FROM all_status WHERE was = 0) || ' new; ' || (SELECT count(*) FROM grade_moves WHERE move = 'improved') || ' grades improved, ' || (SELECT count(*) FROM grade_moves WHERE move = 'declined') || ' declined since 2026-07'",
+    ),
+    "fetch_status": (lambda a: pages.fetch_status(a.c["manifest"]), "SELECT role, count(*) AS fetches, sum((sha256 IS NOT NULL)::INT)::BIGINT AS ok, sum((sha256 IS NULL)::INT)::BIGINT AS failures FROM manifest GROUP BY 1"),
+    "fused_verdicts": (
+        lambda a: pages.fused_verdicts(a.c["providers"], a.c["nppes"]),
+        "SELECT source_sha256, record_idx, CASE WHEN npi IN (SELECT npi FROM bh_npi) THEN 'bh_taxonomy' WHEN verdict IS NULL THEN 'unknown' WHEN verdict = 'bh' THEN 'bh_string' ELSE verdict END AS verdict FROM providers LEFT JOIN specialty_verdicts USING (specialties)",
+    ),
+    "file_profile": (
+        lambda a: pages.profile(a.c["providers"]),
+        "SELECT p.source_sha256, count(*) AS records, " + ", ".join(f"count(nullif(trim({c}), '')) AS has_{c}" for c in ("npi", "specialties", "accepting", "last_updated_on"))
+        + ", count(*) FILTER (WHERE regexp_full_match(coalesce(npi, ''), '[0-9]{10}') AND (source_sha256, record_idx) NOT IN (SELECT (source_sha256, record_idx) FROM m9 WHERE subcode = 'LUHN_INVALID')) AS valid_npis, count(DISTINCT type) AS kinds, min(last_updated_on) AS oldest, max(last_updated_on) AS newest FROM providers p GROUP BY 1",
+    ),
+    "common_phones": (lambda a: pages.common_phones(a.c["provider_addresses"]), "SELECT pd AS phone, count(*) AS records FROM phones GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 8"),
+    "phone_audit": (
+        lambda a: pages.phone_audit(a.c["providers"], a.c["provider_addresses"], _TARGET),
+        f"SELECT type, CASE WHEN k IS NULL THEN 'no_phone' WHEN hit = 0 THEN 'other_only' WHEN k = 1 THEN 'only_target' ELSE 'target_plus_other' END AS bucket, count(*) AS n FROM providers LEFT JOIN (SELECT source_sha256, record_idx, count(*) AS k, count_if(pd = '{_TARGET}') AS hit FROM phones GROUP BY 1, 2) USING (source_sha256, record_idx) GROUP BY ALL",
     ),
     "owner_attribution": (
         lambda a: attribution.owned(a.evidence, attribution.record_owners(a.attached)).groupBy("issuer_id", "metric").agg(F.count("*").alias("n")),
-        "SELECT issuer_id, metric, count(*) AS n FROM evidence JOIN owners USING (source_sha256, record_idx) GROUP BY 1, 2",
+        "SELECT issuer_id, metric, count(*) AS n FROM (SELECT metric, unnest(issuers) AS issuer_id FROM evidence NATURAL JOIN (SELECT source_sha256, record_idx, list(DISTINCT substr(scid, 1, 5)) AS issuers FROM attach GROUP BY ALL)) GROUP BY ALL",
     ),
     "orphan_rows": (
         lambda a: attribution.orphans(a.evidence, attribution.record_owners(a.attached), a.c["file_issuers"]).groupBy("issuer_id", "metric").agg(F.count("*").alias("n")),
-        "SELECT issuer_id, metric, count(*) AS n FROM evidence e JOIN file_issuers USING (source_sha256) WHERE NOT EXISTS (SELECT 1 FROM owners o WHERE o.source_sha256 = e.source_sha256 AND o.record_idx = e.record_idx) GROUP BY 1, 2",
+        "SELECT issuer_id, metric, count(*) AS n FROM evidence LEFT JOIN (SELECT DISTINCT source_sha256, record_idx, true AS owned FROM attach) USING (source_sha256, record_idx) JOIN file_issuers USING (source_sha256) WHERE owned IS NULL GROUP BY ALL",
     ),
     "notify_rollup": (
         lambda a: attribution.issuer_summary(a.evidence, a.m7, a.attached, a.c["file_issuers"]),
-        "SELECT i.issuer_id, coalesce(d.n, 0) AS n_findings, coalesce(d.r, 0) AS n_records, coalesce(o.n, 0) AS n_orphans, coalesce(t.n, 0) AS n_attached, coalesce(m.n, 0) AS n_out_of_area, CASE WHEN m.n > 0 THEN round(round(m.n::DOUBLE / t.n, 9), 4) END AS out_of_area_rate FROM (SELECT DISTINCT issuer_id FROM file_issuers) i LEFT JOIN (SELECT issuer_id, count(*) AS n, count(DISTINCT source_sha256 || '/' || record_idx) AS r FROM evidence JOIN owners USING (source_sha256, record_idx) GROUP BY 1) d USING (issuer_id) LEFT JOIN (SELECT issuer_id, count(*) AS n FROM evidence e JOIN file_issuers USING (source_sha256) WHERE NOT EXISTS (SELECT 1 FROM owners o WHERE o.source_sha256 = e.source_sha256 AND o.record_idx = e.record_idx) GROUP BY 1) o USING (issuer_id) LEFT JOIN (SELECT substr(scid, 1, 5) AS issuer_id, count(*) AS n FROM attach GROUP BY 1) t USING (issuer_id) LEFT JOIN (SELECT substr(plan_id, 1, 5) AS issuer_id, count(*) AS n FROM m7 GROUP BY 1) m USING (issuer_id)",
+        "SELECT i.issuer_id, coalesce(d.n, 0) AS n_findings, coalesce(d.r, 0) AS n_records, coalesce(o.n, 0) AS n_orphans, coalesce(t.n, 0) AS n_attached, coalesce(m.n, 0) AS n_out_of_area, CASE WHEN m.n > 0 THEN round(round(m.n::DOUBLE / t.n, 9), 4) END AS out_of_area_rate FROM (SELECT DISTINCT issuer_id FROM file_issuers) i LEFT JOIN (SELECT issuer_id, count(*) AS n, count(DISTINCT source_sha256 || '/' || record_idx) AS r FROM evidence JOIN owners USING (source_sha256, record_idx) GROUP BY 1) d USING (issuer_id) LEFT JOIN (SELECT issuer_id, count(*) AS n FROM evidence ANTI JOIN owners USING (source_sha256, record_idx) JOIN file_issuers USING (source_sha256) GROUP BY 1) o USING (issuer_id) LEFT JOIN (SELECT substr(scid, 1, 5) AS issuer_id, count(*) AS n FROM attach GROUP BY 1) t USING (issuer_id) LEFT JOIN (SELECT substr(plan_id, 1, 5) AS issuer_id, count(*) AS n FROM m7 GROUP BY 1) m USING (issuer_id)",
     ),
     "co_publishers": (
         lambda a: attribution.co_publishers(a.c["file_issuers"]),

@@ -36,7 +36,8 @@ SELECT concat('file-', lpad(CAST(c_nationkey AS STRING), 2, '0')) AS source_sha2
        CASE WHEN k % 40 = 9 THEN '1900-01-01' WHEN k % 40 = 19 THEN NULL
             ELSE CAST(DATE '{FETCH_DATE}' - CAST((7 * k) % 500 AS INT) AS STRING) END AS last_updated_on,
        CASE c_mktsegment WHEN 'BUILDING' THEN 'Psychiatry' WHEN 'MACHINERY' THEN 'Diagnostic Radiology'
-            WHEN 'HOUSEHOLD' THEN 'Counselor|Psychology' WHEN 'FURNITURE' THEN 'Physical Therapy' ELSE NULL END AS specialties
+            WHEN 'HOUSEHOLD' THEN 'Counselor|Psychology' WHEN 'FURNITURE' THEN 'Physical Therapy'
+            ELSE CASE k % 4 WHEN 0 THEN 'MENTAL Health Aide|Nutrition' WHEN 1 THEN 'Developmental Aide' WHEN 2 THEN ' psychologist |Physical Therapy' ELSE NULL END END AS specialties
 FROM (SELECT *, c_custkey + {shift} AS k, 100000000 + c_custkey AS b FROM customer) t"""
 
 
@@ -63,7 +64,7 @@ SELECT concat('file-', lpad(CAST(c_nationkey AS STRING), 2, '0')) AS source_sha2
               lpad(CAST(l_partkey % CASE s % 4 WHEN 0 THEN 20 WHEN 1 THEN 10 WHEN 2 THEN 5 ELSE 1 END AS STRING), 7, '0'),
               CASE WHEN l_partkey % 3 = 0 THEN '-01' ELSE '' END) AS plan_id,
        CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linenumber = 2 THEN '2025' ELSE '2025|2026' END AS years
-FROM (SELECT *, l_suppkey AS s FROM lineitem) t JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""",
+FROM (SELECT *, l_suppkey AS s FROM lineitem) t JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE o_custkey % 29 <> 3""",
     "zip_county": f"SELECT DISTINCT CAST(10000 + p % 500 AS STRING) AS zip, {_COUNTY} AS county_fips FROM (SELECT p_partkey AS p FROM part) t",
     "county_adjacency": """
 SELECT DISTINCT a.county_fips, b.county_fips AS adjacent_fips FROM zip_county a JOIN zip_county b
