@@ -9,13 +9,16 @@ from ..functions import norm, specialty
 from .compact import RECORD
 from .metrics import bh_npis
 
-_ISSUER = F.substring("scid", 1, 5).alias("issuer_id")
 #: What an exhibit's record must show.
 EXHIBIT_PHONES = ("999999999", "9999999999", "0000000000")
 EXHIBIT_ADDRESSES = ("null", "n/a", "")
 EXHIBIT_DATE = "1900-01-01"
 
 
+def _issuer() -> Column:
+    return F.substring("scid", 1, 5).alias("issuer_id")
+
+
 def _count(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
 
@@ -65,7 +68,7 @@ def receipt(providers: DataFrame, addresses: DataFrame, manifest: DataFrame, dat
 
 
 def issuer_names(published: DataFrame) -> DataFrame:
-    own = published.where("issuer_name is not null").groupBy(_ISSUER).agg(F.min("issuer_name").alias("name"), F.array_sort(F.collect_set("state")).alias("states"))
+    own = published.where("issuer_name is not null").groupBy(_issuer()).agg(F.min("issuer_name").alias("name"), F.array_sort(F.collect_set("state")).alias("states"))
     return own.withColumn("states", F.array_join("states", ","))
 
 
@@ -76,7 +79,7 @@ def issuer_pages(scores: DataFrame, names: DataFrame, hosts: DataFrame, feed: Da
     """
     bh = F.col("scope") == "bh"
     grades = [_count(bh & (F.coalesce("grade", F.lit("thin")) == g)).alias(f"n_{g.lower()}") for g in ("A", "B", "C", "D", "F", "thin")]
-    mix = scores.groupBy(_ISSUER).agg(_count(bh).alias("cells"), *grades, norm.rounded(F.avg(F.when(bh, F.col("score"))), 1).alias("avg_bh"), norm.rounded(100 * F.avg(F.when(~bh, F.col("out_of_area_rate"))), 1).alias("ooa_pct"))
+    mix = scores.groupBy(_issuer()).agg(_count(bh).alias("cells"), *grades, norm.rounded(F.avg(F.when(bh, F.col("score"))), 1).alias("avg_bh"), norm.rounded(100 * F.avg(F.when(~bh, F.col("out_of_area_rate"))), 1).alias("ooa_pct"))
     places = hosts.groupBy("issuer_id").agg(F.array_join(F.array_sort(F.collect_set(F.regexp_extract("url", "//([^/]+)/", 1))), ",").alias("hosts"))
     flags = feed.groupBy("issuer_id").agg(F.array_join(F.array_sort(F.collect_set("subcode")), ",").alias("feed"))
     return names.join(mix, "issuer_id", "left").join(places, "issuer_id", "left").join(flags, "issuer_id", "left")

@@ -250,7 +250,7 @@ DOMAIN = {
     "issuer_names": (lambda a: pages.issuer_names(a.published), f"SELECT {_ISSUER} AS issuer_id, 'Issuer ' || {_ISSUER} AS name, string_agg(DISTINCT state, ',' ORDER BY state) AS states FROM scores GROUP BY 1, 2"),
     "issuer_pages": (
         lambda a: pages.issuer_pages(a.scores, pages.issuer_names(a.published), _hosts(a), _feed(a)),
-        "SELECT issuer_id, name, states, cells, n_a, n_b, n_c, n_d, n_f, n_thin, avg_bh, ooa_pct, hosts, feed FROM (SELECT substr(scid, 1, 5) AS issuer_id, 'Issuer ' || issuer_id AS name, string_agg(DISTINCT state, ',' ORDER BY state) AS states, "
+        "SELECT issuer_id, name, states, cells, n_a, n_b, n_c, n_d, n_f, n_thin, avg_bh, ooa_pct, hosts, feed FROM (SELECT substr(scid, 1, 5) AS issuer_id, 'Issuer ' || substr(scid, 1, 5) AS name, string_agg(DISTINCT state, ',' ORDER BY state) AS states, "
         + "count(*) FILTER (WHERE scope = 'bh') AS cells, " + "".join(f"count(*) FILTER (WHERE scope = 'bh' AND grade = '{g}') AS n_{g.lower()}, " for g in "ABCDF")
         + "count(*) FILTER (WHERE scope = 'bh' AND grade IS NULL) AS n_thin, round(round(avg(score) FILTER (WHERE scope = 'bh'), 9), 1) AS avg_bh, round(round(100 * avg(out_of_area_rate) FILTER (WHERE scope = 'all'), 9), 1) AS ooa_pct FROM scores GROUP BY 1, 2) "
         + "LEFT JOIN (SELECT issuer_id, string_agg(DISTINCT split_part(url, '/', 3), ',' ORDER BY split_part(url, '/', 3)) AS hosts FROM manifest JOIN file_issuers ON sha256 = source_sha256 GROUP BY 1) USING (issuer_id) "
