@@ -58,6 +58,12 @@ def dialable(d: Column) -> Column:
     return (F.length(d) == 10) & ~one_digit_repeated(d) & ~F.substring(d, 1, 3).isin(*NO_AREA)
 
 
+def formatted_phone(c: Column) -> Column:
+    """(212) 555-0100 for ten digits; other texts stay."""
+    d = digits(c)
+    return F.when(F.length(d) == 10, F.regexp_replace(d, r"^(\d{3})(\d{3})(\d{4})\z", "($1) $2-$3")).otherwise(c)
+
+
 def toll_free(d: Column) -> Column:
     return F.substring(d, 1, 3).isin(*TOLL_FREE)
 

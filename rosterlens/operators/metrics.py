@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import norm, specialty
+from ..sources.staging import stage
 from .compact import RECORD
 
 RULE_VERSION = "1"
@@ -74,8 +75,13 @@ def concentrated_phones(addresses: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def call_center_only(providers: DataFrame, addresses: DataFrame, nppes: DataFrame, snapshot: str, owners: dict[str, tuple[str, str]] = PHONE_OWNERS) -> DataFrame:
-    """M5: records all of whose phones are shared by many records of their file."""
+    """M5: records all of whose phones are shared by many records of their file.
+
+    The shared numbers are few (each is on 1 % of a file's records) but are the hot keys: they are a table before they are joined,
+    so that Spark knows their size, broadcasts them if they are small and else splits the numbers that most records have.
+    """
     phones, shared = concentrated_phones(addresses)
+    shared = stage(shared, "shared-phones")
     flagged = (
         phones.join(shared.withColumn("hit", F.lit(1)), ["source_sha256", "pd"], "left")
         .groupBy(*RECORD)
@@ -124,8 +130,10 @@ def allowed_counties(service_area: DataFrame, plan_attributes: DataFrame, counti
 def out_of_area(providers: DataFrame, attached: DataFrame, record_counties: DataFrame, allowed: DataFrame, snapshot: str) -> DataFrame:
     """M7: (record, plan) where no county of the record is in or next to the plan's area.
 
-    Counties become an array per record and per plan (there are some 3,200 counties), so a pair is compared once.
+    Counties become an array per record and per plan (there are some 3,200 counties), so a pair is compared once. The plans' arrays
+    are a table before they are joined: broadcast if small, else Spark splits a plan that very many records are in.
     """
+    allowed = stage(allowed, "allowed-counties")
     places = record_counties.groupBy(*RECORD).agg(F.collect_set("county").alias("here"))
     pairs = attached.join(places, list(RECORD)).join(allowed, "scid").where(~F.arrays_overlap("here", "allowed"))
     rows = pairs.join(providers.select(*RECORD, "npi"), list(RECORD), "left")

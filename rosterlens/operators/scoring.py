@@ -45,7 +45,8 @@ def cells(plan_county: DataFrame) -> DataFrame:
 
 def roster(cells: DataFrame, attached: DataFrame, record_counties: DataFrame, bh: DataFrame) -> DataFrame:
     """Attached records in the counties where their plan is sold, one row per cell and record."""
-    here = attached.join(record_counties, list(RECORD)).join(cells, list(CELL))
+    sold = attached.join(cells.select("scid").distinct(), "scid", "left_semi")  # before counties multiply the rows
+    here = sold.join(record_counties, list(RECORD)).join(cells, list(CELL))
     return here.join(bh.withColumn("is_bh", F.lit(True)), list(RECORD), "left").withColumn("is_bh", F.coalesce("is_bh", F.lit(False)))
 
 

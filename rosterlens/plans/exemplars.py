@@ -168,6 +168,51 @@ def league_table(t: Tables) -> DataFrame:
     return per.where("n >= 20").orderBy("avg_discount", "l_suppkey").limit(15)
 
 
+def ilike_filter(t: Tables) -> DataFrame:
+    return t.part.where(F.col("p_type").ilike("%STEEL%") | F.col("p_name").ilike("A%")).select("p_partkey", "p_type")
+
+
+def bool_or_flags(t: Tables) -> DataFrame:
+    """Whether any, and whether every, line of an order came back."""
+    back = F.col("l_returnflag") == "R"
+    return t.lineitem.groupBy("l_orderkey").agg(F.bool_or(back).alias("any_back"), F.bool_and(back).alias("all_back"))
+
+
+def array_membership(t: Tables) -> DataFrame:
+    """Customers by the priorities of their orders: how many they have, and whether one is urgent."""
+    per = t.orders.groupBy("o_custkey").agg(F.array_distinct(F.collect_list("o_orderpriority")).alias("kinds"))
+    return per.select("o_custkey", F.size("kinds").alias("n_kinds"), F.array_contains("kinds", "1-URGENT").alias("urgent"), F.array_join(F.array_sort("kinds"), "|").alias("kinds"))
+
+
+def lenient_dates(t: Tables) -> DataFrame:
+    """Texts that may be dates: M/d/yyyy, ISO, or none."""
+    k = F.col("o_orderkey") % 3
+    text = F.when(k == 0, F.date_format("o_orderdate", "M/d/yyyy")).when(k == 1, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.lit("soon"))
+    return t.orders.select("o_orderkey", F.to_date(F.try_to_timestamp(text, F.lit("M/d/yyyy"))).cast("string").alias("american"), text.try_cast("date").cast("string").alias("iso"))
+
+
+def mean_of_means(t: Tables) -> DataFrame:
+    """Mean discount of suppliers, each counted once."""
+    per = t.lineitem.groupBy("l_suppkey").agg(F.avg("l_discount").alias("m"))
+    return per.agg(norm.rounded(F.avg("m"), 6).alias("mean"), F.count("*").alias("n"))
+
+
+def any_value_skips_nulls(t: Tables) -> DataFrame:
+    """A value of each group that is not null; groups here have one value at most."""
+    one = F.when(F.col("n_nationkey") == 5 * F.floor(F.col("n_nationkey") / 5), F.col("n_regionkey") * 10)
+    return t.nation.groupBy(F.floor(F.col("n_nationkey") / 5).alias("block")).agg(F.any_value(one, F.lit(True)).alias("value"))
+
+
+def bound_parameter(t: Tables) -> DataFrame:
+    """A statement with named parameters."""
+    return t.spark.sql("SELECT c_custkey, c_acctbal FROM {customer} WHERE c_mktsegment = :segment AND c_acctbal > :least", args={"segment": "BUILDING", "least": 5000.0}, customer=t.customer)
+
+
+def phone_format(t: Tables) -> DataFrame:
+    phone = F.concat(F.lit("212555"), F.lpad((F.col("c_custkey") % 10000).cast("string"), 4, "0"))
+    return t.customer.select("c_custkey", norm.formatted_phone(F.when(F.col("c_custkey") % 7 == 0, F.lit("none")).otherwise(phone)).alias("phone"))
+
+
 _EARLY = "o_orderdate < TIMESTAMP '1995-06-17'"
 _MD5 = "md5(CAST(o_orderkey AS VARCHAR))"
 
@@ -197,6 +242,14 @@ ORACLES = {
     "placeholder_filter": "SELECT p_partkey FROM part WHERE length('1000' || p_size) NOT IN (5, 9) OR lower(coalesce(p_brand, '')) IN ('', 'null', 'n/a', 'na', 'unknown')",
     "stale_threshold_sweep": "SELECT o_orderpriority, " + ", ".join(f"count(*) FILTER (WHERE CAST(o_orderdate AS DATE) < DATE '1998-12-31' - {n}) AS d{n}" for n in (365, 730, 1095)) + " FROM orders GROUP BY 1",
     "hash_sample_exact": "SELECT doc_id, lang FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT 50",
+    "ilike_filter": "SELECT p_partkey, p_type FROM part WHERE p_type ILIKE '%steel%' OR p_name ILIKE 'a%'",
+    "bool_or_flags": "SELECT l_orderkey, count_if(l_returnflag = 'R') > 0 AS any_back, count_if(l_returnflag = 'R') = count(*) AS all_back FROM lineitem GROUP BY 1",
+    "array_membership": "SELECT o_custkey, CAST(count(DISTINCT o_orderpriority) AS INT) AS n_kinds, max(o_orderpriority = '1-URGENT') AS urgent, string_agg(DISTINCT o_orderpriority, '|' ORDER BY o_orderpriority) AS kinds FROM orders GROUP BY 1",
+    "lenient_dates": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS american, CASE WHEN o_orderkey % 3 = 1 THEN strftime(o_orderdate, '%Y-%m-%d') END AS iso FROM orders",
+    "mean_of_means": "SELECT round(round(avg(m), 9), 6) AS mean, count(*) AS n FROM (SELECT sum(l_discount) / count(l_discount) AS m FROM lineitem GROUP BY l_suppkey)",
+    "any_value_skips_nulls": "SELECT n_nationkey // 5 AS block, max(CASE WHEN n_nationkey % 5 = 0 THEN n_regionkey * 10 END) AS value FROM nation GROUP BY 1",
+    "bound_parameter": "SELECT c_custkey, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 5000",
+    "phone_format": "SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'none' ELSE '(212) 555-' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') END AS phone FROM customer",
     "league_table": "SELECT l_suppkey, count(*) AS n, round(round(avg(l_discount), 9), 6) AS avg_discount FROM lineitem GROUP BY 1 HAVING count(*) >= 20 ORDER BY avg_discount, l_suppkey LIMIT 15",
 }
 

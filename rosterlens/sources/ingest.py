@@ -7,10 +7,13 @@ in the array, whatever the elements before it are; elements that are not objects
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
+from .staging import stage
 
 
 def blobs(spark: SparkSession, path: str) -> DataFrame:
@@ -98,7 +101,7 @@ def index_urls(files: DataFrame) -> DataFrame:
 def feeds(seed: DataFrame, hosts: DataFrame) -> DataFrame:
     """Seed rows (url, issuer_id, state) by URL, with the class of the URL's host; unknown hosts are medical."""
     own = seed.groupBy("url").agg(F.array_sort(F.collect_set("issuer_id")).alias("issuer_ids"), F.array_sort(F.collect_set("state")).alias("states"))
-    return own.withColumn("host", F.lower(F.expr("try_parse_url(url, 'AUTHORITY')"))).join(F.broadcast(hosts), "host", "left").withColumn("scope", F.coalesce("scope", F.lit("medical")))
+    return own.withColumn("host", F.lower(F.expr("try_parse_url(url, 'AUTHORITY')"))).join(hosts, "host", "left").withColumn("scope", F.coalesce("scope", F.lit("medical")))
 
 
 def empty_as_null(rows: DataFrame) -> DataFrame:
@@ -136,3 +139,37 @@ def corrections(spark: SparkSession, path: str) -> DataFrame:
     if not bad.isEmpty() or not twice.isEmpty():
         raise ValueError(f"{path}: corrections need an unique id, an issuer, a date, a statement, a known status and, once closed, a response")
     return rows.orderBy(F.desc("date"), "id")
+
+
+def parse_snapshot(files: DataFrame, folder: str, limit: int | None = None) -> None:
+    """Parse the files that ``folder`` does not hold yet (``limit`` of them, in order of their digests), and log the others.
+
+    Tables grow by appending: providers, addresses, plans, and a log row (source_sha256, path, error) for each file that is no
+    valid document. A file is done once it is in the log or its digest in ``done``; a run that was cut short repeats nothing that
+    is done, and what it wrote without a digest in ``done`` is overlooked by ``parsed``.
+    """
+    spark = files.sparkSession
+    done = parsed_digests(spark, folder)
+    todo = files if done is None else unparsed(files, done)
+    if limit is not None:
+        todo = todo.orderBy("source_sha256").limit(limit)
+    run = uuid.uuid4().hex
+    todo = stage(todo, "todo")
+    for name, rows in zip(("providers", "addresses", "plans"), providers(todo), strict=True):
+        rows.withColumn("run", F.lit(run)).write.mode("append").parquet(f"{folder}/{name}")
+    parse_errors(todo).select("source_sha256", "path", F.lit("not a list of records").alias("error")).write.mode("append").json(f"{folder}/log")
+    todo.select("source_sha256", F.lit(run).alias("run")).write.mode("append").parquet(f"{folder}/done")
+
+
+def parsed_digests(spark: SparkSession, folder: str) -> DataFrame | None:
+    """(source_sha256, run) of the files that are done; None before the first run."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/done")
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.schema("source_sha256 string, run string").parquet(f"{folder}/done")
+
+
+def parsed(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table that ``parse_snapshot`` wrote, without what runs left behind that did not end."""
+    runs = spark.read.schema("source_sha256 string, run string").parquet(f"{folder}/done").select("source_sha256", "run")
+    return spark.read.parquet(f"{folder}/{name}").join(runs, ["source_sha256", "run"], "left_semi").drop("run")

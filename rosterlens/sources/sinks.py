@@ -22,9 +22,16 @@ def ordered_csv(rows: DataFrame, path: str, *order: str) -> None:
     rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).write.mode("overwrite").csv(path, header=True, compression="gzip")
 
 
+def plain_csv(rows: DataFrame, path: str, *order: str) -> None:
+    """Like ``ordered_csv``, not compressed."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).write.mode("overwrite").csv(path, header=True)
+
+
 def per_key(rows: DataFrame, path: str, key: str, *order: str) -> None:
-    """A folder of CSV files for each key; a key with many rows gets many files instead of one task."""
-    rows.repartition(key, *order[:1]).sortWithinPartitions(key, *order).write.mode("overwrite").partitionBy(key).option("maxRecordsPerFile", 1_000_000).csv(path, header=True, compression="gzip")
+    """A folder of CSV files for each key; a key with many rows gets many files instead of one task, in order across them."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartitionByRange(parts, key, *order).sortWithinPartitions(key, *order).write.mode("overwrite").partitionBy(key).option("maxRecordsPerFile", 1_000_000).csv(path, header=True, compression="gzip")
 
 
 def append_log(rows: DataFrame, path: str) -> None:

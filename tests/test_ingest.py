@@ -1,6 +1,9 @@
 import json
 import time
 
+import pytest
+
+from rosterlens.operators import pages
 from rosterlens.sources import ingest, sinks
 from rosterlens.streaming import feeds
 
@@ -41,6 +44,66 @@ def test_reference_files(spark, tmp_path):
     assert {(r.host, r.scope, tuple(r.issuer_ids)) for r in ingest.feeds(seed, hosts).collect()} == {("a.com", "medical", ("1", "2")), ("dental.com", "dental", ("3",))}
 
 
+def test_a_parse_resumes_and_logs(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    for k in range(4):
+        (source / f"{k}.json").write_text(json.dumps([PERSON | {"npi": str(k)}]) if k else "{broken")
+    files = ingest.blobs(spark, str(source))
+    ingest.parse_snapshot(files, out, limit=2)
+    assert ingest.parsed_digests(spark, out).count() == 2
+    ingest.parse_snapshot(files, out)
+    ingest.parse_snapshot(files, out)
+    assert sorted(r.npi for r in ingest.parsed(spark, out, "providers").collect()) == ["1", "2", "3"]
+    assert ingest.parsed(spark, out, "addresses").count() == 6
+    assert [r.error for r in spark.read.json(f"{out}/log").collect()] == ["not a list of records"]
+
+
+def test_corrections(spark, tmp_path):
+    rows = [{"id": "1", "issuer_id": "10000", "date": "2026-08-01", "status": "open", "statement": "x"}, {"id": "2", "issuer_id": "10000", "date": "2026-08-03", "status": "accepted", "statement": "y", "response": "z"}]
+    (tmp_path / "c.json").write_text(json.dumps(rows))
+    got = ingest.corrections(spark, str(tmp_path / "c.json"))
+    assert [r.id for r in got.collect()] == ["2", "1"]
+    assert [tuple(r) for r in pages.corrections_by_issuer(got).collect()] == [("10000", 2, 1, "2026-08-03")]
+    (tmp_path / "d.json").write_text(json.dumps([rows[0], rows[0]]))
+    with pytest.raises(ValueError):
+        ingest.corrections(spark, str(tmp_path / "d.json"))
+
+
+def test_primary_taxonomy(spark):
+    rows = spark.createDataFrame([(["A", "B"], ["N", "Y"]), (["A", "B"], ["N", "N"]), (["", "B"], ["Y", "N"]), ([], [])], "codes array<string>, switches array<string>")
+    assert [r[0] for r in rows.select(ingest.primary_taxonomy(rows.codes, rows.switches)).collect()] == ["B", "A", "B", None]
+
+
+def test_receipt_and_labels(spark):
+    people = spark.createDataFrame([("f1", 0, "Psychology", "Accepting", "1900-01-01"), ("f0", 1, "Cardiology", "accepting", "1900-01-01"), ("f0", 2, "PSYCHIATRY", "accepting", "1900-01-01")], "source_sha256 string, record_idx long, specialties string, accepting string, last_updated_on string")
+    places = spark.createDataFrame([(f, i, 0, "NULL", "X", "AL", "99999", "9999999999") for f, i in (("f1", 0), ("f0", 1))] + [("f0", 2, 0, "1 Main St", "X", "AL", "99999", "9999999999")], "source_sha256 string, record_idx long, addr_idx int, address string, city string, state string, zip string, phone string")
+    manifest = spark.createDataFrame([("f1", "https://a.example.com/x.json")], "sha256 string, url string")
+    assert [(r.sha_short, r.specialties, r.host) for r in pages.receipt(people, places, manifest).collect()] == [("f1", "Psychology", "a.example.com")]
+    labels = pages.snapshot_labels(spark.createDataFrame([("2026-08",), ("2026-12",)], "snapshot string")).collect()
+    assert [tuple(r) for r in labels] == [("2026-08", "August 2026", "early September 2026"), ("2026-12", "December 2026", "early January 2027")]
+    feeds_ = spark.createDataFrame([("a", ["1", "2"], ["AL"]), ("a", ["3"], ["AL", "TX"]), ("b", ["4"], ["TX"])], "scope string, issuer_ids array<string>, states array<string>")
+    assert {tuple(r) for r in pages.seed_scopes(feeds_).collect()} == {("a", 2, 3, 2), ("b", 1, 1, 1)}
+
+
+def test_sinks_write_what_they_are_given(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"k{i % 2}", "2026-08", "M4") for i in range(50)], "n int, k string, snapshot string, metric string")
+    sinks.evidence_table(rows, str(tmp_path / "e"))
+    assert spark.read.parquet(str(tmp_path / "e")).where("metric = 'M4'").count() == 50
+    sinks.parquet(rows, str(tmp_path / "p"))
+    sinks.append_log(rows, str(tmp_path / "l"))
+    sinks.append_log(rows, str(tmp_path / "l"))
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 50 and spark.read.json(str(tmp_path / "l")).count() == 100
+    for write, place in ((sinks.ordered_csv, "o"), (sinks.plain_csv, "c")):
+        write(rows, str(tmp_path / place), "n")
+        files = sorted(str(p) for p in (tmp_path / place).glob("part-*"))
+        assert [int(r.n) for f in files for r in spark.read.csv(f, header=True).collect()] == list(range(50))
+    sinks.per_key(rows, str(tmp_path / "k"), "k", "n")
+    for k in (0, 1):
+        files = sorted(str(p) for p in (tmp_path / "k" / f"k=k{k}").glob("part-*"))
+        assert [int(r.n) for f in files for r in spark.read.csv(f, header=True).collect()] == list(range(k, 50, 2))
+
+
 def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([(i, f"k{i % 3}") for i in range(20)], "n int, k string")
     sinks.ordered_csv(rows, str(tmp_path / "o"), "n")
