@@ -169,7 +169,7 @@ def league_table(t: Tables) -> DataFrame:
 
 
 def ilike_filter(t: Tables) -> DataFrame:
-    return t.part.where(F.col("p_type").ilike("%STEEL%") | F.col("p_name").ilike("A%")).select("p_partkey", "p_type")
+    return t.part.where(F.col("p_type").ilike("econ%") | F.col("p_name").ilike("%Q%")).select("p_partkey", "p_type")
 
 
 def bool_or_flags(t: Tables) -> DataFrame:
@@ -242,7 +242,7 @@ ORACLES = {
     "placeholder_filter": "SELECT p_partkey FROM part WHERE length('1000' || p_size) NOT IN (5, 9) OR lower(coalesce(p_brand, '')) IN ('', 'null', 'n/a', 'na', 'unknown')",
     "stale_threshold_sweep": "SELECT o_orderpriority, " + ", ".join(f"count(*) FILTER (WHERE CAST(o_orderdate AS DATE) < DATE '1998-12-31' - {n}) AS d{n}" for n in (365, 730, 1095)) + " FROM orders GROUP BY 1",
     "hash_sample_exact": "SELECT doc_id, lang FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT 50",
-    "ilike_filter": "SELECT p_partkey, p_type FROM part WHERE p_type ILIKE '%steel%' OR p_name ILIKE 'a%'",
+    "ilike_filter": "SELECT p_partkey, p_type FROM part WHERE lower(p_type) LIKE 'econ%' OR contains(lower(p_name), 'q')",
     "bool_or_flags": "SELECT l_orderkey, count_if(l_returnflag = 'R') > 0 AS any_back, count_if(l_returnflag = 'R') = count(*) AS all_back FROM lineitem GROUP BY 1",
     "array_membership": "SELECT o_custkey, CAST(count(DISTINCT o_orderpriority) AS INT) AS n_kinds, max(o_orderpriority = '1-URGENT') AS urgent, string_agg(DISTINCT o_orderpriority, '|' ORDER BY o_orderpriority) AS kinds FROM orders GROUP BY 1",
     "lenient_dates": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS american, CASE WHEN o_orderkey % 3 = 1 THEN strftime(o_orderdate, '%Y-%m-%d') END AS iso FROM orders",
