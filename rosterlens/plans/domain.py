@@ -18,14 +18,42 @@ from .oracle_steps import query
 _KEY = "metric, subcode, evidence_strength, weight, source_sha256, record_idx, npi"
 
 
+#: Relations whose rows belong to a file.
+_OF_FILES = ("providers", "providers_before", "provider_addresses", "provider_plans", "file_issuers")
+
+
+class _Numbered:
+    """The corpus with numbers in place of the files' SHA-256 sums."""
+
+    def __init__(self, audit: Audit):
+        self.audit = audit
+
+    def __getitem__(self, name: str) -> DataFrame:
+        rows = self.audit.raw[name]
+        return compact.encode(rows, self.audit.files, "source_sha256", "file") if name in _OF_FILES else rows
+
+
 class Audit:
     """The relations of one run, each built once and lazily.
 
     The bridges, the evidence and the scores are staged: an audit's steps hand tables on, and many reports start from them.
+    Files are numbers (``c``) from the scan on, so that joins, sorts and shuffles carry eight bytes for 64 characters; ``named`` gives
+    the rows of a result their SHA-256 sums back. ``raw`` is the corpus as it was read.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.c = corpus.load(spark, sf_dir)
+        self.raw = corpus.load(spark, sf_dir)
+        self.c = _Numbered(self)
+
+    @cached_property
+    def files(self) -> DataFrame:
+        """(source_sha256, file): staged, so Spark knows its size and broadcasts it only if it is small (thousands of files)."""
+        sums = [self.raw[name].select("source_sha256").distinct() for name in _OF_FILES]
+        return stage(compact.surrogate_keys(scoring.union(sums), "source_sha256", "file"), "files")
+
+    def named(self, rows: DataFrame) -> DataFrame:
+        numbers = "source_sha256" in rows.columns and rows.schema["source_sha256"].dataType.typeName() == "long"
+        return compact.decode(rows, self.files, "source_sha256", "file") if numbers else rows
 
     @cached_property
     def attached(self) -> DataFrame:
@@ -167,13 +195,13 @@ _TARGET = "8005550003"
 
 
 def _hosts(a: Audit) -> DataFrame:
-    own = a.c["manifest"].where("sha256 is not null").select(F.col("sha256").alias("source_sha256"), "url")
-    return own.join(a.c["file_issuers"], "source_sha256").select("issuer_id", "url")
+    own = a.raw["manifest"].where("sha256 is not null").select(F.col("sha256").alias("source_sha256"), "url")
+    return own.join(a.raw["file_issuers"], "source_sha256").select("issuer_id", "url")
 
 
 def _feed(a: Audit) -> DataFrame:
     flags = metrics.feed_flags(a.c["manifest"], SNAPSHOT, (*metrics.RESTRICTED_HOSTS, "host2.com")).select(F.col("url").alias("index_url"), "subcode")
-    files = a.c["manifest"].where("sha256 is not null").select("index_url", F.col("sha256").alias("source_sha256")).join(a.c["file_issuers"], "source_sha256")
+    files = a.raw["manifest"].where("sha256 is not null").select("index_url", F.col("sha256").alias("source_sha256")).join(a.raw["file_issuers"], "source_sha256")
     return files.join(flags, "index_url").select("issuer_id", "subcode").distinct()
 
 
@@ -262,7 +290,7 @@ DOMAIN = {
     ),
     "state_pages": (lambda a: pages.state_pages(a.scores), f"SELECT state, county, max(grade) AS worst_grade, count(*) FILTER (WHERE thin_roster) AS thin, count(*) FILTER (WHERE grade IN ('D', 'F')) AS poor, count(DISTINCT {_ISSUER}) AS issuers FROM scores WHERE scope = 'bh' GROUP BY 1, 2"),
     "thin_rosters": (lambda a: pages.thin_rosters(a.published), "SELECT scid, county AS county_fips, 'County ' || county AS county_name, state, 'Issuer ' || substr(scid, 1, 5) AS issuer_name, 'Plan ' || scid AS plan_marketing_name, n FROM scores WHERE scope = 'bh' AND n < 10"),
-    "capped_export": (lambda a: pages.capped(a.m4.select("source_sha256", "record_idx", "subcode"), 40), "SELECT source_sha256, record_idx, subcode FROM m4 ORDER BY md5(record_idx || '|' || source_sha256 || '|' || subcode) LIMIT 40"),
+    "capped_export": (lambda a: pages.capped(a.named(a.m4.select("source_sha256", "record_idx", "subcode")), 40), "SELECT source_sha256, record_idx, subcode FROM m4 ORDER BY md5(record_idx || '|' || source_sha256 || '|' || subcode) LIMIT 40"),
     "diff_summary": (
         lambda a: pages.diff_summary(a.status_all, diff.grade_changes(a.scores_before, a.scores)),
         "SELECT (SELECT count(*) FROM all_status WHERE was = 0) AS new, (SELECT count(*) FROM all_status WHERE is_now = 0) AS resolved, (SELECT count(*) FROM all_status WHERE was + is_now = 2) AS persisting, (SELECT count(*) FROM grade_moves WHERE move = 'improved') AS improved, (SELECT count(*) FROM grade_moves WHERE move = 'declined') AS declined",
@@ -352,5 +380,10 @@ DOMAIN = {
     ),
 }
 
-QUERIES = {name: (lambda spark, sf_dir, build=build: build(audit(spark, sf_dir))) for name, (build, _) in DOMAIN.items()}
+
+def _built(a: Audit, build) -> DataFrame:
+    return a.named(build(a))
+
+
+QUERIES = {name: (lambda spark, sf_dir, build=build: _built(audit(spark, sf_dir), build)) for name, (build, _) in DOMAIN.items()}
 ORACLES = {name: query(select) for name, (_, select) in DOMAIN.items()}
