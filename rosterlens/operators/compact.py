@@ -45,6 +45,15 @@ def decode(rows: DataFrame, numbers: DataFrame, column: str, key: str) -> DataFr
     return _swap(rows, numbers, column, key, column)
 
 
+def by_records(rows: DataFrame) -> DataFrame:
+    """``rows``, which grow with the records, as the right side of a join: sorted and merged, never broadcast.
+
+    Spark takes the size of a table's compressed files for that of its rows, and a few columns of them for their share. Eight million
+    rows of evidence in 29 MB count as less than the 10 MB that it collects on the driver to broadcast, and fill its memory.
+    """
+    return rows.hint("merge")
+
+
 def attach(plans: DataFrame, year: str = "2026") -> DataFrame:
     """Distinct (record, scid) of well-formed HIOS plans that name no year or this one."""
     own = plans.where(F.upper("plan_id_type").like("HIOS%") & (F.col("years").isNull() | F.col("years").contains(year)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import norm, specialty
 from ..sources.staging import stage
-from .compact import RECORD
+from .compact import RECORD, by_records
 
 RULE_VERSION = "1"
 EVIDENCE = ("snapshot", "metric", "subcode", "evidence_strength", "weight", "source_sha256", "record_idx", "npi", "plan_id", "observed", "rule_version")
@@ -135,7 +135,7 @@ def out_of_area(providers: DataFrame, attached: DataFrame, record_counties: Data
     """
     allowed = stage(allowed, "allowed-counties")
     places = record_counties.groupBy(*RECORD).agg(F.collect_set("county").alias("here"))
-    pairs = attached.join(places, list(RECORD)).join(allowed, "scid").where(~F.arrays_overlap("here", "allowed"))
+    pairs = attached.join(by_records(places), list(RECORD)).join(allowed, "scid").where(~F.arrays_overlap("here", "allowed"))
     rows = pairs.join(providers.select(*RECORD, "npi"), list(RECORD), "left")
     seen = norm.json_of(plan_state=F.substring("scid", 6, 2), counties=F.size("here"))
     return evidence(rows, "M7_OUT_OF_AREA_LISTING", "OUT_OF_AREA", "E2", 0.8, seen, snapshot, F.col("scid"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import norm, specialty
-from .compact import RECORD
+from .compact import RECORD, by_records
 from .metrics import bh_npis
 
 OUT_OF_AREA_WEIGHT = 0.8
@@ -46,15 +46,15 @@ def cells(plan_county: DataFrame) -> DataFrame:
 def roster(cells: DataFrame, attached: DataFrame, record_counties: DataFrame, bh: DataFrame) -> DataFrame:
     """Attached records in the counties where their plan is sold, one row per cell and record."""
     sold = attached.join(cells.select("scid").distinct(), "scid", "left_semi")  # before counties multiply the rows
-    here = sold.join(record_counties, list(RECORD)).join(cells, list(CELL))
-    return here.join(bh.withColumn("is_bh", F.lit(True)), list(RECORD), "left").withColumn("is_bh", F.coalesce("is_bh", F.lit(False)))
+    here = sold.join(by_records(record_counties), list(RECORD)).join(cells, list(CELL))
+    return here.join(by_records(bh.withColumn("is_bh", F.lit(True))), list(RECORD), "left").withColumn("is_bh", F.coalesce("is_bh", F.lit(False)))
 
 
 def out_of_area_rates(attached: DataFrame, record_counties: DataFrame, m7: DataFrame) -> DataFrame:
     """Of each plan's attached records that have a county, how many are out of its area."""
-    mappable = attached.join(record_counties.select(*RECORD).distinct(), list(RECORD), "left_semi")
+    mappable = attached.join(by_records(record_counties.select(*RECORD).distinct()), list(RECORD), "left_semi")
     out = m7.select(*RECORD, F.col("plan_id").alias("scid")).distinct().withColumn("out", F.lit(1))
-    joined = mappable.join(out, [*RECORD, "scid"], "left").groupBy("scid").agg(F.count("*").alias("n_attached"), F.count("out").alias("n_out_of_area"))
+    joined = mappable.join(by_records(out), [*RECORD, "scid"], "left").groupBy("scid").agg(F.count("*").alias("n_attached"), F.count("out").alias("n_out_of_area"))
     return joined.withColumn("ooa_rate", F.col("n_out_of_area").cast("double") / F.col("n_attached"))
 
 
@@ -63,7 +63,7 @@ def cell_scores(roster: DataFrame, penalties: DataFrame, rates: DataFrame) -> Da
 
     Both scopes come from one aggregation, so the roster is read and shuffled once.
     """
-    joined = roster.join(penalties, list(RECORD), "left")
+    joined = roster.join(by_records(penalties), list(RECORD), "left")
     bh = F.col("is_bh")
 
     def mean(c, cond=None):

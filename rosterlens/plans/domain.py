@@ -29,6 +29,8 @@ class _Numbered:
         self.audit = audit
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name == "file_issuers":
+            return self.audit.file_issuers
         rows = self.audit.raw[name]
         return compact.encode(rows, self.audit.files, "source_sha256", "file") if name in _OF_FILES else rows
 
@@ -51,6 +53,11 @@ class Audit:
         sums = [self.raw[name].select("source_sha256").distinct() for name in _OF_FILES]
         return stage(compact.surrogate_keys(scoring.union(sums), "source_sha256", "file"), "files")
 
+    @cached_property
+    def file_issuers(self) -> DataFrame:
+        """With the files' numbers: staged, so Spark knows that it is smaller than the evidence that meets it."""
+        return stage(compact.encode(self.raw["file_issuers"], self.files, "source_sha256", "file"), "file-issuers")
+
     def named(self, rows: DataFrame) -> DataFrame:
         numbers = "source_sha256" in rows.columns and rows.schema["source_sha256"].dataType.typeName() == "long"
         return compact.decode(rows, self.files, "source_sha256", "file") if numbers else rows

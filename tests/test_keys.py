@@ -1,6 +1,10 @@
-"""Numbers in place of files' SHA-256 sums."""
+"""Numbers in place of files' SHA-256 sums, and how tables meet by them."""
 
-from rosterlens.operators import compact
+import re
+
+import pytest
+
+from rosterlens.operators import attribution, compact, scoring
 from rosterlens.plans import domain
 
 
@@ -32,3 +36,19 @@ def test_the_audit_joins_on_numbers(spark):
     assert dict(a.named(a.evidence).dtypes)["source_sha256"] == "string"
     plan = a.c["provider_plans"]._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+JOINED_BY_RECORD = {
+    "rates": lambda a: a.rates,
+    "roster": lambda a: a.roster,
+    "scores": lambda a: scoring.cell_scores(a.roster, a.penalties, a.rates),
+    "owned": lambda a: attribution.owned(a.evidence, attribution.record_owners(a.attached)),
+    "orphans": lambda a: attribution.orphans(a.evidence, attribution.record_owners(a.attached), a.c["file_issuers"]),
+}
+
+
+@pytest.mark.parametrize("name", JOINED_BY_RECORD)
+def test_rows_that_grow_with_the_records_are_not_broadcast(spark, name):
+    plan = JOINED_BY_RECORD[name](domain.audit(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    sent = re.findall(r"\) BroadcastExchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert "SortMergeJoin" in plan and not [x for x in sent if "record_idx" in x]
