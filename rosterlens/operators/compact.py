@@ -46,7 +46,7 @@ def decode(rows: DataFrame, numbers: DataFrame, column: str, key: str) -> DataFr
 
 
 def by_records(rows: DataFrame) -> DataFrame:
-    """``rows``, which grow with the records, as the right side of a join: sorted and merged, never broadcast.
+    """``rows``, which grow with the records or the registry, as the right side of a join: sorted and merged, never broadcast.
 
     Spark takes the size of a table's compressed files for that of its rows, and a few columns of them for their share. Eight million
     rows of evidence in 29 MB count as less than the 10 MB that it collects on the driver to broadcast, and fill its memory.

@@ -51,7 +51,7 @@ def placeholder_values(providers: DataFrame, addresses: DataFrame, fetch_date: s
         counts += [F.count(F.when(bad(F.col(c)), 1)).alias(f"{kind}_n"), F.min(F.when(bad(F.col(c)), F.coalesce(F.col(c), F.lit("")))).alias(f"{kind}_example")]
     per_record = addresses.groupBy(*RECORD).agg(*counts)
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("subcode"), F.col(f"{k}_n").alias("rows"), F.col(f"{k}_example").alias("example")) for k in kinds])).alias("x")
-    found = per_record.select(*RECORD, each).select(*RECORD, "x.*").where("rows > 0").join(providers.select(*RECORD, "npi"), list(RECORD), "left")
+    found = per_record.select(*RECORD, each).select(*RECORD, "x.*").where("rows > 0").join(by_records(providers.select(*RECORD, "npi")), list(RECORD), "left")
     by_address = evidence(found, "M3_PLACEHOLDER_VALUE", F.col("subcode"), "E1", 1.0, norm.json_of(example=F.col("example"), addr_rows=F.col("rows")), snapshot)
     date = F.col("last_updated_on")
     impossible = providers.where((date < "2014-01-01") | (date > fetch_date))
@@ -90,7 +90,7 @@ def call_center_only(providers: DataFrame, addresses: DataFrame, nppes: DataFram
     )
     owner = addresses.sparkSession.createDataFrame([(k, *v) for k, v in owners.items()], "phone string, owner string, owner_class string")
     registry = nppes.groupBy("npi").agg(F.min(norm.digits(F.col("practice_phone"))).alias("registered"))
-    rows = flagged.join(providers.select(*RECORD, "npi"), list(RECORD), "left").join(F.broadcast(owner), "phone", "left").join(registry, "npi", "left")
+    rows = flagged.join(by_records(providers.select(*RECORD, "npi")), list(RECORD), "left").join(F.broadcast(owner), "phone", "left").join(by_records(registry), "npi", "left")
     none = F.lit("unattributed")
     seen = norm.json_of(
         concentration_phone=F.col("phone"),
@@ -136,7 +136,7 @@ def out_of_area(providers: DataFrame, attached: DataFrame, record_counties: Data
     allowed = stage(allowed, "allowed-counties")
     places = record_counties.groupBy(*RECORD).agg(F.collect_set("county").alias("here"))
     pairs = attached.join(by_records(places), list(RECORD)).join(allowed, "scid").where(~F.arrays_overlap("here", "allowed"))
-    rows = pairs.join(providers.select(*RECORD, "npi"), list(RECORD), "left")
+    rows = pairs.join(by_records(providers.select(*RECORD, "npi")), list(RECORD), "left")
     seen = norm.json_of(plan_state=F.substring("scid", 6, 2), counties=F.size("here"))
     return evidence(rows, "M7_OUT_OF_AREA_LISTING", "OUT_OF_AREA", "E2", 0.8, seen, snapshot, F.col("scid"))
 
@@ -154,7 +154,7 @@ def npi_registry_status(providers: DataFrame, nppes: DataFrame, deactivated: Dat
     code = F.when(~formed, "MISSING_OR_MALFORMED").when(~norm.luhn_npi(npi), "LUHN_INVALID")
     invalid = evidence(providers.withColumn("code", code).where("code is not null"), metric, F.col("code"), "E1", 1.0, norm.json_of(npi=npi), snapshot)
     active = nppes.where("entity_type is not null").select("npi")
-    gone = providers.join(deactivated, "npi").join(active, "npi", "left_anti")
+    gone = providers.join(by_records(deactivated), "npi").join(by_records(active), "npi", "left_anti")
     return invalid.unionByName(evidence(gone, metric, "DEACTIVATED", "E3", 0.7, norm.json_of(npi=npi, deactivation_date=F.col("deactivation_date")), snapshot))
 
 
@@ -167,7 +167,7 @@ def taxonomy_mismatch(providers: DataFrame, nppes: DataFrame, snapshot: str, rul
     """M10: a behavioral-health specialty whose NPI has taxonomies, but none of behavioral health."""
     verdict = specialty.verdicts(providers, rules).where("verdict = 'bh'").select("specialties")
     known = nppes.where("taxonomies is not null").select("npi", "taxonomies")
-    rows = providers.join(verdict, "specialties").join(known, "npi").join(bh_npis(nppes), "npi", "left_anti")
+    rows = providers.join(verdict, "specialties").join(by_records(known), "npi").join(by_records(bh_npis(nppes)), "npi", "left_anti")
     return evidence(rows, "M10_TAXONOMY_MISMATCH", "BH_STRING_NOT_BH_TAXONOMY", "E3", 0.5, norm.json_of(specialties=F.col("specialties"), nppes_taxonomies=F.col("taxonomies")), snapshot)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import norm, specialty
-from .compact import RECORD
+from .compact import RECORD, by_records
 from .metrics import bh_npis
 
 #: What an exhibit's record must show.
@@ -153,7 +153,7 @@ def corrections_by_issuer(corrections: DataFrame) -> DataFrame:
 def fused_verdicts(providers: DataFrame, nppes: DataFrame, rules: specialty.Rules = specialty.Rules()) -> DataFrame:
     """(record, verdict): bh_taxonomy if its NPI has such a code, bh_string if its specialty is one, else the specialty's verdict."""
     by_name = providers.join(specialty.verdicts(providers, rules), "specialties", "left")
-    own = by_name.join(bh_npis(nppes).withColumn("_code", F.lit(True)), "npi", "left")
+    own = by_name.join(by_records(bh_npis(nppes).withColumn("_code", F.lit(True))), "npi", "left")
     return own.select(*RECORD, F.when(F.col("_code"), "bh_taxonomy").when(F.col("verdict") == "bh", "bh_string").otherwise(F.coalesce("verdict", F.lit("unknown"))).alias("verdict"))
 
 

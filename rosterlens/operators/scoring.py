@@ -34,7 +34,7 @@ def record_penalties(evidence: DataFrame) -> DataFrame:
 
 def bh_records(providers: DataFrame, nppes: DataFrame, rules: specialty.Rules = specialty.Rules()) -> DataFrame:
     """Records whose NPI has a behavioral-health taxonomy or whose specialty is one."""
-    by_code = providers.join(bh_npis(nppes), "npi", "left_semi").select(*RECORD)
+    by_code = providers.join(by_records(bh_npis(nppes)), "npi", "left_semi").select(*RECORD)
     by_name = providers.join(specialty.verdicts(providers, rules).where("verdict = 'bh'"), "specialties", "left_semi").select(*RECORD)
     return by_code.unionByName(by_name).distinct()
 
