@@ -9,8 +9,8 @@ partition for some ``ROWS_PER_PARTITION`` rows, and ``2 ** LEVELS`` to ``2 ** MO
 Index: every vector goes to its most probable partition, in packed blocks. Search: a query goes to its most probable
 partitions, as many as reach the probability ``COVERAGE`` together; every block there is ranked by exact distance in
 double precision. A query that finds fewer than ``k`` there searches all partitions. Blocks, not partitions, are the unit
-of work: a partition's blocks are dealt to a task for each ``BLOCKS_PER_TASK`` of them, so a partition with any share
-of the rows is split, and only its queries are copied; each block returns ``k`` rows a query at most.
+of work: a partition's blocks are dealt to a task for ``BLOCKS_PER_TASK`` full ones, so a partition with any share
+of the rows is split, and only its queries are copied; a task returns the ``k`` nearest of all blocks that a query meets there.
 
 Defined results: vectors that are null, zero, of another dimension than most (the smaller of equally frequent ones) or
 that hold null or non-finite components take no part, nor do null ids; finite components of any size do (a distance
@@ -45,6 +45,11 @@ LEAST_SAMPLE = 512
 BLOCK = 2048
 QUERY_BLOCK = 256
 BLOCKS_PER_TASK = 4
+#: Vectors measured exactly at a time, and neighbours that a task holds before it hands them on.
+EXACT = 16384
+HELD_ROWS = 2_000_000
+#: So many tasks' leftovers of a partition are packed together.
+TASKS_TOGETHER = 16
 #: Components beyond this size are scaled before they are squared, and their vectors teach the network nothing.
 MODERATE = 1e100
 K = 10
@@ -212,7 +217,32 @@ def _blocks(vectors: DataFrame, router: Router | None, coverage: float, size: in
         for part, own in held.items():
             yield pack(part, own)
 
-    return vectors.select("vec_id", "embedding").mapInArrow(rows, "part int, number int, ids binary, x binary")
+    packed = vectors.select("vec_id", "embedding").mapInArrow(rows, "part int, number int, ids binary, x binary")
+    return _full(packed.withColumn("near", F.floor(F.spark_partition_id() / TASKS_TOGETHER)), size)
+
+
+def _full(blocks: DataFrame, size: int) -> DataFrame:
+    """Fuller blocks: a task that packs its rows by partition leaves a part of a block for each, however many rows there are.
+    Those of some tasks (``near``) meet, so that a partition with any share of the rows is many groups."""
+
+    def rows(batches):
+        held: dict[int, list] = {}
+        number = TaskContext.get().partitionId()
+
+        def pack(part, own):
+            nonlocal number
+            number += 1
+            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "number": pa.array([number], pa.int32()), "ids": pa.array([b"".join(i for i, _ in own)]), "x": pa.array([b"".join(v for _, v in own)])})
+
+        for batch in batches:
+            for part, ids, x in zip(*(batch.column(c).to_pylist() for c in ("part", "ids", "x")), strict=True):
+                held.setdefault(part, []).append((ids, x))
+                if sum(len(i) for i, _ in held[part]) >= 8 * size:
+                    yield pack(part, held.pop(part))
+        for part, own in held.items():
+            yield pack(part, own)
+
+    return blocks.repartition("part", "near").drop("near").mapInArrow(rows, "part int, number int, ids binary, x binary")
 
 
 def _distances(x: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -227,43 +257,103 @@ def _distances(x: np.ndarray, query: np.ndarray) -> np.ndarray:
     return out
 
 
-def nearest_in(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query ids, ids and distances of the k nearest in a block; ties to the smaller id.
+def _rough(x: np.ndarray, queries: np.ndarray, kind: type) -> tuple[np.ndarray, float]:
+    """Squared distances of vectors with components up to 1, and by how much two of them may be out of order."""
+    near, asked = x.astype(kind), queries.astype(kind)
+    norms, own = (near**2).sum(axis=1), (asked**2).sum(axis=1)
+    out = asked @ near.T
+    out *= -2
+    out += norms
+    out += own[:, None]
+    most = float(max(norms.max(), own.max()))
+    return out, 8 * (x.shape[1] + 16) * float(np.finfo(kind).eps) * most
+
+
+def nearest_in(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query ids, ids and distances of the k nearest in a block, none beyond ``known`` (a distance for each query); ties to the
+    smaller id, and of rows that share an id the nearest.
 
     A product of matrices, of vectors scaled to at most 1, finds the vectors that may be among them; these are measured exactly.
+    Single precision does where it leaves few of them.
     """
     scale = float(2.0 ** np.frexp(max(np.abs(x).max(), np.abs(queries).max()))[1] / 2)
     near, asked = x / scale, queries / scale
-    norms, own = (near**2).sum(axis=1), (asked**2).sum(axis=1)
-    rough = norms + own[:, None] - 2 * asked @ near.T
-    other = query_ids[:, None] != ids
-    rough[~other] = np.inf
-    slack = 1e-9 * max(norms.max(), own.max())
-    out: list[tuple] = []
-    m = min(k, len(ids))
-    bound = np.partition(rough, m - 1, axis=1)[:, m - 1] + slack
-    for i in range(len(queries)):
-        at = np.flatnonzero((rough[i] <= bound[i]) & other[i])
-        exact = _distances(x[at], queries[i])
-        order = np.lexsort((ids[at], exact))[:k]
-        out.append((np.full(len(order), query_ids[i]), ids[at][order], exact[order]))
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+    m = min(k * int(np.unique(ids, return_counts=True)[1].max()) + 1, len(ids))  # so many rows, the query's own aside, hold k ids
+    for kind in (np.float32, np.float64):
+        rough, slack = _rough(near, asked, kind)
+        for i in np.flatnonzero(np.isin(ids, query_ids)):
+            rough[query_ids == ids[i], i] = np.inf
+        with np.errstate(over="ignore"):
+            bound = np.full(len(queries), np.inf) if known is None else (known / scale) ** 2 * (1 + 1e-9)
+        fresh = np.flatnonzero(np.isinf(bound))
+        if len(fresh):
+            bound[fresh] = np.partition(rough[fresh], m - 1, axis=1)[:, m - 1]
+        most = np.minimum(np.nextafter((bound + slack).astype(kind), kind(np.inf)), np.finfo(kind).max)  # of the same kind, so nothing is cast
+        at, place = np.divmod(np.flatnonzero(rough <= most[:, None]), len(ids))
+        if len(at) <= 8 * m * len(queries):
+            break
+    found = [_distances(x[place[i : i + EXACT]], queries[at[i : i + EXACT]]) for i in range(0, len(at), EXACT)]
+    return _first(at, ids[place], np.concatenate(found) if found else np.zeros(0), query_ids, k)
+
+
+def _first(at: np.ndarray, ids: np.ndarray, score: np.ndarray, query_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k nearest ids of each place in ``query_ids``, in order."""
+    order = np.lexsort((score, ids, at))
+    at, ids, score = at[order], ids[order], score[order]
+    own = np.ones(len(at), bool)
+    own[1:] = (at[1:] != at[:-1]) | (ids[1:] != ids[:-1])
+    at, ids, score = at[own], ids[own], score[own]
+    order = np.lexsort((ids, score, at))
+    at, ids, score = at[order], ids[order], score[order]
+    kept = np.arange(len(at)) - np.searchsorted(at, at) < k
+    return query_ids[at[kept]], ids[kept], score[kept]
+
+
+class _Best:
+    """The k nearest so far of the queries that a task meets, by their block."""
+
+    def __init__(self, k: int):
+        self.k, self.rows, self.found = k, 0, {}
+
+    def add(self, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndarray) -> None:
+        """``query_ids`` are distinct and sorted."""
+        key = query_ids.tobytes()
+        old = self.found.get(key)
+        known = np.full(len(query_ids), np.inf)
+        if old is not None:
+            asked, counts = np.unique(old[0], return_counts=True)
+            full = counts == self.k
+            known[np.searchsorted(query_ids, asked[full])] = old[2][(np.cumsum(counts) - 1)[full]]
+        new = nearest_in(ids, x, query_ids, queries, self.k, known)
+        if old is not None:
+            new = _first(np.searchsorted(query_ids, np.concatenate((old[0], new[0]))), *(np.concatenate(c) for c in zip(old[1:], new[1:], strict=True)), query_ids, self.k)
+        self.rows += len(new[0]) - (len(old[0]) if old is not None else 0)
+        self.found[key] = new
+
+    def take(self) -> list[pa.RecordBatch]:
+        out = [pa.RecordBatch.from_arrays(list(map(pa.array, c)), ["query_id", "vec_id", "score"]) for c in self.found.values()]
+        self.rows, self.found = 0, {}
+        return out
 
 
 def _search(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    sizes = candidates.groupBy("part").count().collect()  # a row for each partition, 2 ** MOST_LEVELS at most
-    tasks = F.create_map(*[F.lit(x) for r in sizes for x in (r["part"], -(-r["count"] // BLOCKS_PER_TASK))]) if sizes else F.create_map().cast("map<int,long>")
+    sizes = candidates.groupBy("part").agg(F.sum(F.octet_length("ids") / 8).alias("rows")).collect()  # a row for each partition, 2 ** MOST_LEVELS at most
+    tasks = F.create_map(*[F.lit(x) for r in sizes for x in (r["part"], math.ceil(r["rows"] / (BLOCK * BLOCKS_PER_TASK)))]) if sizes else F.create_map().cast("map<int,long>")
     salted = candidates.withColumn("salt", F.pmod(F.xxhash64("number", "ids"), tasks[F.col("part")]))
     asked = queries.withColumn("n", tasks[F.col("part")]).where("n is not null")  # a partition without rows has nothing to find
     asked = asked.select("part", F.col("ids").alias("query_ids"), F.col("x").alias("queries"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("salt"))
     pairs = salted.join(asked, ["part", "salt"]).select("ids", "x", "query_ids", "queries")
 
     def rows(batches):
+        best = _Best(k)
         for batch in batches:
             for ids, x, query_ids, queries_ in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
                 ids, query_ids = np.frombuffer(ids, np.int64), np.frombuffer(query_ids, np.int64)
-                found = nearest_in(ids, np.frombuffer(x).reshape(len(ids), -1), query_ids, np.frombuffer(queries_).reshape(len(query_ids), -1), k)
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, found)), ["query_id", "vec_id", "score"])
+                order = np.argsort(query_ids)
+                best.add(ids, np.frombuffer(x).reshape(len(ids), -1), query_ids[order], np.frombuffer(queries_).reshape(len(query_ids), -1)[order])
+                if best.rows > HELD_ROWS:
+                    yield from best.take()
+        yield from best.take()
 
     found = pairs.mapInArrow(rows, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")

@@ -338,3 +338,34 @@ def test_queries_are_registered():
 
     names = __spark_entry__.queries()
     assert {"pipeline", *queries.QUERIES} <= set(names) and len(queries.QUERIES) == 10
+
+
+def test_rows_that_share_an_id_do_not_crowd_out_others(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(40, 4))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(7, (x[0] + k * 1e-6).tolist()) for k in range(1, 31)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = sorted((r.rank, r.vec_id) for r in ann.nearest(frame, every=100).collect())
+    others = sorted((math.hypot(*(x[i] - x[0])), i) for i in range(1, 40) if i != 7)
+    assert got == [(1, 7), *((k + 2, i) for k, (_, i) in enumerate(others[:9]))]
+
+
+def test_a_task_hands_on_the_nearest_of_all_its_blocks(monkeypatch):
+    monkeypatch.setattr(ann, "EXACT", 100)
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(4000, 16))
+    x[500:900] = x[500]  # single precision leaves many
+    x += 1000.0
+    ids, asked = np.arange(4000), np.arange(0, 4000, 50)
+    best = ann._Best(10)
+    for i in range(0, 4000, 500):
+        best.add(ids[i : i + 500], x[i : i + 500], asked, x[asked])
+    assert best.rows == 10 * len(asked)
+    got = {}
+    for batch in best.take():
+        for q, i, d in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            got.setdefault(q, []).append((i, d))
+    for q in asked:
+        want = exact(ids, x, q, 10)
+        assert [i for i, _ in got[q]] == [i for i, _ in want]
+        assert np.allclose([d for _, d in got[q]], [d for _, d in want], rtol=1e-14)
