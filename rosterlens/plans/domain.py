@@ -12,7 +12,7 @@ from ..operators import attribution, callsheet, compact, diff, metrics, pages, r
 from ..operators.compact import RECORD
 from ..sources import corpus
 from ..sources.corpus import FETCH_DATE, SNAPSHOT
-from ..sources.staging import stage
+from ..sources.staging import stage, stage_union
 from .oracle_steps import query
 
 _KEY = "metric, subcode, evidence_strength, weight, source_sha256, record_idx, npi"
@@ -105,7 +105,7 @@ class Audit:
 
     @cached_property
     def evidence(self) -> DataFrame:
-        return stage(scoring.union([self.m3, self.m4, self.m5, self.m6, self.m8, self.m9, self.m10]))
+        return stage_union([self.m3, self.m4, self.m5, self.m6, self.m8, self.m9, self.m10])
 
     def small_evidence(self, suffix: str) -> DataFrame:
         """The checks that look at the records alone, for the snapshot before ('_before') or this one ('')."""
@@ -127,7 +127,7 @@ class Audit:
             metrics.npi_registry_status(p, n, self.c["nppes_deactivated"], SNAPSHOT),
             metrics.taxonomy_mismatch(p, n, SNAPSHOT),
         ]
-        return stage(scoring.union(parts))
+        return stage_union(parts)
 
     @cached_property
     def m7_before(self) -> DataFrame:

@@ -14,10 +14,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: The share of the driver's heap that may be in use by its JVM before a staged table is followed by a collection.
+HEAP_SHARE = 0.4
 _own: dict[str, str] = {}  # temporary folders by application
 _scratch: list[str] = []
 
@@ -66,14 +70,34 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         remove(spark, _scratch.pop())
 
 
+def _collect_garbage(spark: SparkSession) -> None:
+    """Give back what the plan of a staged table left on the driver, if its JVM has taken much of its heap by now.
+
+    The JVM would rather take all of it first, and Spark removes broadcasts only when their handles are collected.
+    """
+    runtime = spark._jvm.java.lang.Runtime.getRuntime()
+    if runtime.totalMemory() > HEAP_SHARE * runtime.maxMemory():
+        runtime.gc()
+
+
 def stage(df: DataFrame, tag: str = "stage", folder: str | None = None) -> DataFrame:
     """Write ``df`` and read it back: later steps start from files, not from lineage. Its shuffle files go at once."""
-    spark = df.sparkSession
+    return stage_union([df], tag, folder)
+
+
+def stage_union(parts: list[DataFrame], tag: str = "stage", folder: str | None = None) -> DataFrame:
+    """All rows of the parts as one staged table. They are written one after the other, so that the driver plans, compiles and
+    broadcasts for one of them at a time."""
+    spark = parts[0].sparkSession
+    schema = reduce(DataFrame.unionByName, parts).schema  # with the types that hold every part's values
     path = f"{folder}/{tag}-{uuid.uuid4().hex}" if folder else new_folder(spark, tag)
     before = spark.conf.get(_SHUFFLES, "false")
     spark.conf.set(_SHUFFLES, "true")
     try:
-        df.write.parquet(path)
+        for part in parts:
+            own = part if len(parts) == 1 else part.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+            own.write.mode("append").parquet(path)
+            _collect_garbage(spark)
     finally:
         spark.conf.set(_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)

@@ -6,6 +6,7 @@ import pytest
 
 from rosterlens.operators import attribution, compact, pages, scoring
 from rosterlens.plans import domain
+from rosterlens.sources import corpus, staging
 
 
 def test_numbers_follow_the_order_of_the_values(spark):
@@ -57,3 +58,17 @@ def test_rows_that_grow_with_the_records_or_the_registry_are_not_broadcast(spark
     # a table as small as this one's providers may meet the specialties' verdicts by being broadcast: its size is never underrated
     sent = re.findall(r"\) BroadcastExchange\nInput \[\d+\]: \[(.*)\]", plan)
     assert "SortMergeJoin" in plan and not [x for x in sent if ("record_idx" in x or "npi" in x) and "specialties" not in x]
+
+
+def test_customers_are_not_broadcast_to_orders_and_plans(spark, monkeypatch):
+    plans = {}
+
+    def staged(df, tag="stage", folder=None):
+        plans[df.columns[2]] = df._jdf.queryExecution().executedPlan().toString()
+        return df
+
+    monkeypatch.setattr(staging, "stage", staged)
+    own = corpus.Corpus(spark, "/root/testdata/sf0.001")
+    assert own["provider_addresses"].count() and own["provider_plans"].count()
+    for name in ("addr_idx", "plan_id_type"):
+        assert "SortMergeJoin" in plans[name] and "BroadcastExchange" not in plans[name]
