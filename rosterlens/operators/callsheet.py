@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import norm
-from .compact import RECORD
+from .compact import RECORD, by_records
 
 CELLS_PER_ARM = 40
 
@@ -40,7 +40,7 @@ def call_roster(cells: DataFrame, roster: DataFrame, providers: DataFrame, addre
     name = F.when(name != "", name).otherwise(F.coalesce("facility_name", F.lit("")))
     people = providers.select(*RECORD, "npi", "specialties", "accepting", name.alias("provider_name"))
     first = addresses.where("addr_idx = 0").select(*RECORD, "phone", "address", "city", "zip", norm.digits(F.col("phone")).alias("d"))
-    rows = members.join(people, list(RECORD)).join(first, list(RECORD), "left").withColumn("d", F.coalesce("d", F.lit("")))
+    rows = members.join(by_records(people), list(RECORD)).join(by_records(first), list(RECORD), "left").withColumn("d", F.coalesce("d", F.lit("")))
     return rows.withColumns({"dialable": norm.dialable(F.col("d")), "toll_free": norm.toll_free(F.col("d")), "nameless": F.trim("provider_name") == ""})
 
 

@@ -174,7 +174,8 @@ class Audit:
 
     @cached_property
     def calls(self) -> DataFrame:
-        return callsheet.call_roster(callsheet.candidates(self.scores), self.roster, self.c["providers"], self.c["provider_addresses"])
+        """Staged: the inventory of the cells and the rows of the chosen ones both start from it."""
+        return stage(callsheet.call_roster(callsheet.candidates(self.scores), self.roster, self.c["providers"], self.c["provider_addresses"]))
 
     @cached_property
     def chosen(self) -> DataFrame:

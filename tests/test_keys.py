@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from rosterlens.operators import attribution, compact, pages, scoring
+from rosterlens.operators import attribution, callsheet, compact, pages, scoring
 from rosterlens.plans import domain
 from rosterlens.sources import corpus, staging
 
@@ -72,3 +72,17 @@ def test_customers_are_not_broadcast_to_orders_and_plans(spark, monkeypatch):
     assert own["provider_addresses"].count() and own["provider_plans"].count()
     for name in ("addr_idx", "plan_id_type"):
         assert "SortMergeJoin" in plans[name] and "BroadcastExchange" not in plans[name]
+
+
+def test_records_are_not_broadcast_to_the_call_roster(spark):
+    a = domain.audit(spark, "/root/testdata/sf0.001")
+    rows = callsheet.call_roster(callsheet.candidates(a.scores), a.roster, a.c["providers"], a.c["provider_addresses"])
+    plan = rows._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    sent = re.findall(r"\) BroadcastExchange\nInput \[\d+\]: \[(.*)\]", plan)
+    # as above, a table as small as this one's providers may meet the specialties' verdicts
+    assert sent and not [x for x in sent if "record_idx" in x and ("specialties" not in x or "provider_name" in x)], sent
+
+
+def test_the_call_roster_is_computed_once(spark):
+    a = domain.audit(spark, "/root/testdata/sf0.001")
+    assert a.calls is a.calls and "Join" not in a.calls._jdf.queryExecution().executedPlan().toString()
