@@ -23,16 +23,24 @@ _OF_FILES = ("providers", "providers_before", "provider_addresses", "provider_pl
 
 
 class _Numbered:
-    """The corpus with numbers in place of the files' SHA-256 sums."""
+    """The corpus with numbers in place of the files' SHA-256 sums.
+
+    Each relation is numbered once, as a table: a plan that numbers what it reads sends the files' numbers to the driver and back for
+    every place where it reads a relation. Plan memberships are read once, by ``attached``, and are numbered there.
+    """
 
     def __init__(self, audit: Audit):
         self.audit = audit
+        self.tables: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name == "file_issuers":
-            return self.audit.file_issuers
         rows = self.audit.raw[name]
-        return compact.encode(rows, self.audit.files, "source_sha256", "file") if name in _OF_FILES else rows
+        if name not in _OF_FILES:
+            return rows
+        if name not in self.tables:
+            numbered = compact.encode(rows, self.audit.files, "source_sha256", "file")
+            self.tables[name] = numbered if name == "provider_plans" else stage(numbered, name.replace("_", "-"))
+        return self.tables[name]
 
 
 class Audit:
@@ -53,11 +61,6 @@ class Audit:
         sums = [self.raw[name].select("source_sha256").distinct() for name in _OF_FILES]
         return stage(compact.surrogate_keys(scoring.union(sums), "source_sha256", "file"), "files")
 
-    @cached_property
-    def file_issuers(self) -> DataFrame:
-        """With the files' numbers: staged, so Spark knows that it is smaller than the evidence that meets it."""
-        return stage(compact.encode(self.raw["file_issuers"], self.files, "source_sha256", "file"), "file-issuers")
-
     def named(self, rows: DataFrame) -> DataFrame:
         numbers = "source_sha256" in rows.columns and rows.schema["source_sha256"].dataType.typeName() == "long"
         return compact.decode(rows, self.files, "source_sha256", "file") if numbers else rows
@@ -143,10 +146,13 @@ class Audit:
     def penalties(self) -> DataFrame:
         return scoring.record_penalties(self.evidence)
 
+    @cached_property
+    def bh(self) -> DataFrame:
+        return stage(scoring.bh_records(self.c["providers"], self.c["nppes"]), "bh-records")
+
     @cached_property
     def roster(self) -> DataFrame:
-        bh = scoring.bh_records(self.c["providers"], self.c["nppes"])
-        return scoring.roster(scoring.cells(self.c["plan_county"]), self.attached, self.record_counties, bh)
+        return scoring.roster(scoring.cells(self.c["plan_county"]), self.attached, self.record_counties, self.bh)
 
     @cached_property
     def rates(self) -> DataFrame:
@@ -154,15 +160,18 @@ class Audit:
 
     @cached_property
     def scores(self) -> DataFrame:
-        return stage(scoring.cell_scores(self.roster, self.penalties, self.rates))
+        """What the scores meet is staged one by one: in one plan all of it would run at once, and fill the driver's memory."""
+        rates, penalties = stage(self.rates, "rates"), stage(self.penalties, "penalties")
+        return stage(scoring.cell_scores(self.roster, penalties, rates), "scores")
 
     @cached_property
     def scores_before(self) -> DataFrame:
         """Scores of the earlier snapshot's records, on the plans, addresses and registry that both share; county 01001 was not sold."""
-        bh = scoring.bh_records(self.c["providers_before"], self.c["nppes"])
+        bh = stage(scoring.bh_records(self.c["providers_before"], self.c["nppes"]), "bh-records")
         cells = scoring.cells(self.c["plan_county"].where("fips <> '01001'"))
         roster = scoring.roster(cells, self.attached, self.record_counties, bh)
-        return stage(scoring.cell_scores(roster, scoring.record_penalties(self.evidence_before), scoring.out_of_area_rates(self.attached, self.record_counties, self.m7_before)))
+        rates = stage(scoring.out_of_area_rates(self.attached, self.record_counties, self.m7_before), "rates")
+        return stage(scoring.cell_scores(roster, stage(scoring.record_penalties(self.evidence_before), "penalties"), rates), "scores")
 
     @cached_property
     def status_all(self) -> DataFrame:

@@ -86,3 +86,24 @@ def test_records_are_not_broadcast_to_the_call_roster(spark):
 def test_the_call_roster_is_computed_once(spark):
     a = domain.audit(spark, "/root/testdata/sf0.001")
     assert a.calls is a.calls and "Join" not in a.calls._jdf.queryExecution().executedPlan().toString()
+
+
+def test_relations_are_numbered_once(spark):
+    a = domain.audit(spark, "/root/testdata/sf0.001")
+    for name in ("providers", "providers_before", "provider_addresses", "file_issuers"):
+        assert a.c[name] is a.c[name] and "Join" not in a.c[name]._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["scores", "scores_before"])
+def test_scores_start_from_tables_of_what_they_meet(spark, monkeypatch, name):
+    a = domain.Audit(spark, "/root/testdata/sf0.001")
+    read = {}
+
+    def staged(df, tag="stage", folder=None):
+        read[tag] = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        return staging.stage(df, tag, folder)
+
+    monkeypatch.setattr(domain, "stage", staged)
+    assert getattr(a, name).count()
+    # plan memberships, counties of records and of plans, and a table each of behavioral health, penalties and rates
+    assert len(read["scores" if "scores" in read else "stage"]) == 6
