@@ -108,7 +108,7 @@ def address_inflation(providers: DataFrame, addresses: DataFrame, snapshot: str)
     counts = addresses.groupBy(*RECORD).agg(F.count_distinct(place).alias("n"), F.count_distinct("state").alias("states"))
     one = F.coalesce(F.col("type") == "INDIVIDUAL", F.lit(False))
     many_sites = F.lower(F.coalesce("specialties", F.lit(""))).rlike(MANY_SITES)
-    rows = counts.where("n > 10").join(providers.select(*RECORD, "npi", "type", "specialties"), list(RECORD)).where((one & ~many_sites) | (~one & (F.col("n") > 25)))
+    rows = counts.where("n > 10").join(by_records(providers.select(*RECORD, "npi", "type", "specialties")), list(RECORD)).where((one & ~many_sites) | (~one & (F.col("n") > 25)))
     n = F.col("n")
     code = F.when(one & (n > 25), "INDIVIDUAL_GT25").when(one, "INDIVIDUAL_GT10").when(n > 100, "ORG_GT100").otherwise("ORG_GT25")
     strong = (one & (n > 25)) | (n > 100)
@@ -167,7 +167,8 @@ def taxonomy_mismatch(providers: DataFrame, nppes: DataFrame, snapshot: str, rul
     """M10: a behavioral-health specialty whose NPI has taxonomies, but none of behavioral health."""
     verdict = specialty.verdicts(providers, rules).where("verdict = 'bh'").select("specialties")
     known = nppes.where("taxonomies is not null").select("npi", "taxonomies")
-    rows = providers.join(verdict, "specialties").join(by_records(known), "npi").join(by_records(bh_npis(nppes)), "npi", "left_anti")
+    bh = providers.join(verdict, "specialties", "left_semi")  # not an inner join, as that would broadcast the records if their files are small
+    rows = bh.join(by_records(known), "npi").join(by_records(bh_npis(nppes)), "npi", "left_anti")
     return evidence(rows, "M10_TAXONOMY_MISMATCH", "BH_STRING_NOT_BH_TAXONOMY", "E3", 0.5, norm.json_of(specialties=F.col("specialties"), nppes_taxonomies=F.col("taxonomies")), snapshot)
 
 

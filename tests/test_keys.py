@@ -60,6 +60,13 @@ def test_rows_that_grow_with_the_records_or_the_registry_are_not_broadcast(spark
     assert "SortMergeJoin" in plan and not [x for x in sent if ("record_idx" in x or "npi" in x) and "specialties" not in x]
 
 
+@pytest.mark.parametrize("name", ["m6", "m10"])
+def test_checks_never_broadcast_records(spark, name):
+    plan = getattr(domain.audit(spark, "/root/testdata/sf0.001"), name)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    sent = re.findall(r"\) BroadcastExchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert "SortMergeJoin" in plan and not [x for x in sent if "record_idx" in x], sent
+
+
 def test_customers_are_not_broadcast_to_orders_and_plans(spark, monkeypatch):
     plans = {}
 
