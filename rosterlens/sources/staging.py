@@ -9,6 +9,7 @@ staged inside it.
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,7 +79,26 @@ def _collect_garbage(spark: SparkSession) -> None:
     """
     runtime = spark._jvm.java.lang.Runtime.getRuntime()
     if runtime.totalMemory() > HEAP_SHARE * runtime.maxMemory():
+        gc.collect()  # plans that only Python's cycles still hold
         runtime.gc()
+        _trim(spark)
+
+
+def _trim(spark: SparkSession) -> bool:
+    """Give back to the system what the driver's JVM has freed outside its heap: its compiler's arenas, old threads' and network buffers. The
+    C library keeps them otherwise, some 200 MB. False where the JVM has no command for it (only HotSpot on Linux has, from 17.0.9 on)."""
+    jvm, array = spark._jvm, spark.sparkContext._gateway.new_array
+    kinds = ("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")
+    values = (jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap", array(jvm.Object, 0), array(jvm.String, 0))
+    classes, arguments = array(jvm.Class, 4), array(jvm.Object, 4)
+    for i, (kind, value) in enumerate(zip(kinds, values)):
+        classes[i], arguments[i] = jvm.Class.forName(kind), value
+    invoke = jvm.Class.forName("javax.management.MBeanServer").getMethod("invoke", classes)  # of the interface: Py4J cannot see the class
+    try:
+        invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), arguments)
+    except Py4JJavaError:
+        return False
+    return True
 
 
 def stage(df: DataFrame, tag: str = "stage", folder: str | None = None) -> DataFrame:

@@ -24,3 +24,15 @@ def test_a_heap_in_use_is_collected_after_a_staged_table(spark, monkeypatch):
     before = _full_collections(spark)
     assert staging.stage(spark.range(10).withColumn("x", F.lit("a"))).count() == 10
     assert _full_collections(spark) > before
+
+
+def test_what_the_jvm_freed_outside_its_heap_is_given_back(spark, monkeypatch):
+    assert staging._trim(spark)  # the command is there and ran
+    trimmed = []
+    monkeypatch.setattr(staging, "_trim", trimmed.append)
+    monkeypatch.setattr(staging, "HEAP_SHARE", 1.0)
+    staging.stage(spark.range(10))
+    assert not trimmed
+    monkeypatch.setattr(staging, "HEAP_SHARE", 0.0)
+    staging.stage(spark.range(10))
+    assert trimmed == [spark]
